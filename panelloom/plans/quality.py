@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelloom.operators.checks import all_missing, duplicate_keys, full_signal
 from panelloom.operators.ewma import causal_ewma, causal_impute
 from panelloom.operators.rank import xsec_rank
-from panelloom.spec import IMPUTE_HALF_LIFE, TIE_DECIMALS, TIMES_PER_DAY, EwmaSpec
+from panelloom.spec import IMPUTE_HALF_LIFE, KEYS, TIE_DECIMALS, TIMES_PER_DAY, EwmaSpec
 
 CHECKED = EwmaSpec(30, "ewma_30hl")
 
@@ -46,13 +46,13 @@ def rank_stability(averages: DataFrame, ranks: DataFrame, features: Sequence[str
 def quality_report(
     raw: DataFrame, features: Sequence[str], largest: int | None = None, times_per_day: int = TIMES_PER_DAY
 ) -> DataFrame:
-    """``rank_stability`` of the checked average, plus the number of duplicated keys."""
+    """One row per check and subject: the rank of every feature, and the uniqueness of keys."""
     averages = checked_averages(raw, features, times_per_day=times_per_day)
     ranks = xsec_rank(averages, features, largest=largest)
-    repeated = duplicate_keys(raw).agg(F.count(F.lit(1)).alias("n")).select(
-        F.lit("(keys)").alias("feature"),
-        F.lit(None).cast("boolean").alias("has_signal"),
-        F.lit(None).cast("boolean").alias("rank_missing"),
-        (F.col("n") == 0).alias("ok"),
+    stable = rank_stability(averages, ranks, features).select(
+        F.lit("rank_stability").alias("check_name"), F.col("feature").alias("subject"), "ok"
     )
-    return rank_stability(averages, ranks, features).unionByName(repeated)
+    unique = duplicate_keys(raw).agg((F.count(F.lit(1)) == 0).alias("ok")).select(
+        F.lit("unique_keys").alias("check_name"), F.lit(", ".join(KEYS)).alias("subject"), "ok"
+    )
+    return stable.unionByName(unique)

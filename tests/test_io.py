@@ -11,7 +11,7 @@ from panelloom.functions.numeric import clean_features, close_to
 from panelloom.operators.checks import active_days, duplicate_keys, rows_per_day
 from panelloom.operators.days import day_range, missing_days
 from panelloom.plans.backfill import build_range, build_test_range
-from panelloom.plans.quality import quality_report
+from panelloom.plans.quality import quality_report, rank_stability
 from panelloom.plans.shards import build_raw_shards
 from panelloom.plans.verify import gate, pending_days, verify_range
 from panelloom.sinks.daily import read_days, stored_schema, write_days
@@ -166,14 +166,23 @@ def test_test_range_has_no_labels(spark, tmp_path):
 
 
 def test_quality_report(spark, panel):
-    out = quality_report(panel, FEATURES).toPandas().set_index("feature")
-    assert out["ok"].all()
-    assert not out["rank_missing"].dropna().any()
-    twice = quality_report(panel.unionByName(panel.limit(1)), FEATURES).toPandas().set_index("feature")
-    assert not twice.loc["(keys)", "ok"]
+    out = quality_report(panel, FEATURES).toPandas().set_index("subject")
+    assert out["ok"].all() and len(out) == len(FEATURES) + 1
+    twice = quality_report(panel.unionByName(panel.limit(1)), FEATURES).toPandas().set_index("check_name")
+    assert not twice.loc["unique_keys", "ok"]
     assert duplicate_keys(panel).count() == 0
 
 
+def test_rank_stability_finds_collapse(spark):
+    types = "stockid int, dateid int, timeid int, a double, b double"
+    mean = spark.createDataFrame([(0, 0, 0, 1.0, None), (1, 0, 0, 2.0, 3.0)], types)
+    ranks = spark.createDataFrame([(0, 0, 0, None, None), (1, 0, 0, None, 0.5)], types).withColumnsRenamed(
+        {"a": "a_r", "b": "b_r"}
+    )
+    out = rank_stability(mean, ranks, ["a", "b"]).toPandas().set_index("feature")
+    assert out["ok"].to_dict() == {"a": False, "b": True}
+
+
 def test_close_to(spark):
     df = spark.createDataFrame([(1.0, 1.0 + 1e-12), (1.0, 2.0), (None, None), (None, 1.0)], "a double, b double")
     got = [r[0] for r in df.select(close_to(F.col("a"), F.col("b"))).collect()]
