@@ -1 +1,8 @@
 """Panel feature engineering on Spark: imputation, EWMA, ranks, daily packets."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

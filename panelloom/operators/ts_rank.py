@@ -11,25 +11,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.operators import vector
 from panelloom.operators.long_series import with_position
+from panelloom.operators.vector import pack, to_lists, to_matrix, unpack
 from panelloom.spec import TIMES_PER_DAY, TS_RANK_ROWS, ts_rank_name
 
 BLOCK_ROWS = 4 * TS_RANK_ROWS
 
 
 def trailing_rank(values: np.ndarray, rows: int) -> np.ndarray:
-    """Rank of each value among the present ones of the ``rows`` values ending at it."""
-    padded = np.concatenate([np.full(rows - 1, np.nan), values])
-    frames = np.lib.stride_tricks.sliding_window_view(padded, rows)
-    below = (frames < values[:, None]).sum(axis=1)
-    tied = (frames == values[:, None]).sum(axis=1)
-    present = (~np.isnan(frames)).sum(axis=1)
-    scaled = (below + (tied - 1) / 2.0) / np.maximum(present - 1, 1)
+    """Per column, the rank of each value among the present ones of the ``rows`` ending at it."""
+    frames = pd.DataFrame(values).rolling(rows, min_periods=1)
+    place, present = frames.rank().to_numpy(), frames.count().to_numpy()
+    scaled = (place - 1) / np.maximum(present - 1, 1)
     return np.where(np.isnan(values), np.nan, np.where(present == 1, 0.5, scaled))
 
 
@@ -45,7 +43,7 @@ def ts_rank(
         raise ValueError("a block must hold the whole look-back of the next one")
     ids = [c for c in df.columns if c not in set(columns)]
     placed = with_position(
-        df.select(*ids, vector.pack(columns).alias("_x")), ["stockid"], ["dateid", "timeid"], times_per_day
+        df.select(*ids, pack(columns).alias("_x")), ["stockid"], ["dateid", "timeid"], times_per_day
     )
     own = F.floor(F.col("_pos") / F.lit(block_rows))
     following = F.floor((F.col("_pos") + F.lit(rows - 1)) / F.lit(block_rows))
@@ -57,13 +55,10 @@ def ts_rank(
 
     def rank_block(block: pa.Table) -> pa.Table:
         block = block.sort_by("_pos")
-        matrix = vector.to_matrix(block.column("_x"))
-        ranks = np.empty_like(matrix)
-        for j in range(matrix.shape[1]):
-            ranks[:, j] = trailing_rank(np.ascontiguousarray(matrix[:, j]), rows)
+        ranks = trailing_rank(to_matrix(block.column("_x")), rows)
         kept = np.equal(block.column("_own").to_numpy(), block.column("_block").to_numpy())
-        out = block.select(ids).append_column("_x", vector.to_lists(ranks))
+        out = block.select(ids).append_column("_x", to_lists(ranks))
         return out.filter(pa.array(kept))
 
     ranked = blocks.groupBy("stockid", "_block").applyInArrow(rank_block, fields)
-    return ranked.select(*ids, *vector.unpack("_x", [ts_rank_name(c) for c in columns]))
+    return ranked.select(*ids, *unpack("_x", [ts_rank_name(c) for c in columns]))

@@ -47,36 +47,74 @@ def rank_matrix(values: np.ndarray) -> np.ndarray:
     work = np.ascontiguousarray(values.T)
     order = np.argsort(work, axis=1)
     ranked = np.take_along_axis(work, order, axis=1)
-    present = (~np.isnan(ranked)).sum(axis=1, keepdims=True)
-    starts = np.ones(ranked.shape, dtype=bool)
-    starts[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
-    ends = np.roll(starts, -1, axis=1)
-    ends[:, -1] = True
-    place = np.arange(rows)
-    first = np.maximum.accumulate(np.where(starts, place, 0), axis=1)
-    last = np.minimum.accumulate(np.where(ends, place, rows)[:, ::-1], axis=1)[:, ::-1]
-    # first = below and last - first + 1 = tied, so below + (tied - 1) / 2 is their mean.
-    scaled = np.where(present == 1, 0.5, (first + last) / 2.0 / np.maximum(present - 1, 1))
-    scaled[np.isnan(ranked)] = np.nan
+    missing = np.isnan(ranked)
+    present = rows - missing.sum(axis=1, keepdims=True)
+    place = np.arange(rows, dtype=np.float64)
+    # Sorted position is the number of smaller values, plus half the other tied ones.
+    scaled = place / np.maximum(present - 1, 1)
+    same = ranked[:, 1:] == ranked[:, :-1]
+    tied = np.flatnonzero(same.any(axis=1))
+    if len(tied):
+        inner = same[tied]
+        edge = np.ones((len(tied), 1), dtype=bool)
+        first = np.maximum.accumulate(np.where(np.hstack([edge, ~inner]), place, 0.0), axis=1)
+        last = np.where(np.hstack([~inner, edge]), place, rows)[:, ::-1]
+        last = np.minimum.accumulate(last, axis=1)[:, ::-1]
+        scaled[tied] = (first + last) / 2.0 / np.maximum(present[tied] - 1, 1)
+    scaled[(present == 1)[:, 0]] = 0.5
+    scaled[missing] = np.nan
     out = np.empty_like(work)
     np.put_along_axis(out, order, scaled, axis=1)
     return out.T
 
 
+def snap_matrix(values: np.ndarray, decimals: int | None) -> np.ndarray:
+    if decimals is None:
+        return values
+    return np.rint(values * 10.0**decimals) / 10.0**decimals
+
+
+class RunningMeans:
+    """Decaying sums of several series sets at once, one row per half-life.
+
+    Both sums shrink by 2^(-1 / half_life) per step, so their ratio is the weighted
+    mean and nothing can overflow. ``end`` hands a set's sums on to a later start.
+    """
+
+    def __init__(self, half_lives: Sequence[float], width: int):
+        self.keep = 2.0 ** (-1.0 / np.asarray(half_lives, dtype=float))[:, None]
+        self.total = np.zeros((len(half_lives), width))
+        self.norm = np.zeros((len(half_lives), width))
+        self.count = np.zeros((len(half_lives), width))
+
+    def end(self, rows: slice) -> tuple[np.ndarray, ...]:
+        return tuple(a[rows].copy() for a in (self.total, self.norm, self.count))
+
+    def start(self, rows: slice, state: tuple[np.ndarray, ...]) -> None:
+        for mine, other in zip((self.total, self.norm, self.count), state):
+            mine[rows] = other
+
+    def step(self, values: np.ndarray) -> np.ndarray:
+        present = values == values
+        self.total *= self.keep
+        self.total += np.where(present, values, 0.0)
+        self.norm *= self.keep
+        self.norm += present
+        self.count += present
+        return self.total / self.norm
+
+
 def ewma_matrix(
     values: np.ndarray, half_life: float, min_count: int = 1, decimals: int | None = None
 ) -> np.ndarray:
     """Causal average down each column; rows are the series in order."""
-    weight = 2.0 ** (np.arange(1, len(values) + 1) / half_life)[:, None]
-    present = ~np.isnan(values)
-    total = np.cumsum(np.where(present, values, 0.0) * weight, axis=0)
+    means = RunningMeans([half_life], values.shape[1])
+    out = np.empty_like(values)
     with np.errstate(invalid="ignore"):
-        mean = total / np.cumsum(present * weight, axis=0)
-    if min_count > 1:
-        mean[np.cumsum(present, axis=0) < min_count] = np.nan
-    if decimals is not None:
-        mean = np.rint(mean * 10.0**decimals) / 10.0**decimals
-    return mean
+        for i, row in enumerate(values):
+            mean = means.step(row)[0]
+            out[i] = mean if min_count <= 1 else np.where(means.count[0] >= min_count, mean, np.nan)
+    return snap_matrix(out, decimals)
 
 
 def impute_matrix(values: np.ndarray, half_life: float) -> np.ndarray:

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions.numeric import snap
-from panelloom.operators import vector
 from panelloom.operators.days import (
     FRAME_DAY_SERIES,
     FRAME_SERIES,
@@ -22,7 +21,16 @@ from panelloom.operators.days import (
     with_day_blocks,
 )
 from panelloom.operators.ewma import causal_ewma, causal_impute, fits_one_window
-from panelloom.operators.rank import choose_engine, largest_group, xsec_rank
+from panelloom.operators.rank import NARROW, choose_engine, largest_group, xsec_rank
+from panelloom.operators.vector import (
+    RunningMeans,
+    pack,
+    rank_packed,
+    snap_matrix,
+    to_lists,
+    to_matrix,
+    unpack,
+)
 from panelloom.spec import (
     EWMA_SPECS,
     IMPUTE_HALF_LIFE,
@@ -80,6 +88,42 @@ def imputed_averages(
     return day.withColumns({c: snap(F.col(c), decimals) for c in features}).drop("_block", "target_dateid")
 
 
+def average_day(
+    values: np.ndarray, history: tuple | None, specs: Sequence[EwmaSpec], impute_half_life: float
+) -> tuple[np.ndarray, tuple]:
+    """One stock and day: imputed values and averages, ``rows x (1 + specs) x features``.
+
+    Every average is run down the day once. The cross-day ones start from the sums
+    the day before ended with, which is all the two-day frame adds; ``history`` holds
+    them, and what is returned with the result is the same for the next day.
+    """
+    rows, width = values.shape
+    same = [k for k, s in enumerate(specs) if not s.cross_day]
+    cross = [k for k, s in enumerate(specs) if s.cross_day]
+    fill = RunningMeans([impute_half_life] * 2, width)
+    lives = [specs[k].half_life for k in [*same, *cross, *cross]]
+    means = RunningMeans(lives, width)
+    day_only, across = len(same) + len(cross), slice(len(same) + len(cross), None)
+    carried = slice(len(same), day_only)
+    if history is not None:
+        fill.start(slice(1, 2), history[0])
+        means.start(across, history[1])
+    shown = np.empty(len(specs), dtype=int)
+    shown[same], shown[cross] = np.arange(len(same)), day_only + np.arange(len(cross))
+    least = np.array([s.min_count for s in specs])[:, None]
+    out = np.empty((rows, 1 + len(specs), width))
+    source = np.empty((len(lives), width))
+    with np.errstate(invalid="ignore"):
+        for i, row in enumerate(values):
+            filled = np.where(np.isnan(row), fill.step(row[None, :]), row)
+            source[:day_only], source[across] = filled[0], filled[1]
+            mean = means.step(source)[shown]
+            if (least > 1).any():
+                mean = np.where(means.count[shown] >= least, mean, np.nan)
+            out[i, 0], out[i, 1:] = filled[0], mean
+    return out, (fill.end(slice(0, 1)), means.end(carried))
+
+
 def packed_averages(
     raw: DataFrame,
     features: Sequence[str],
@@ -92,38 +136,36 @@ def packed_averages(
     """The same for wide panels: ``_x`` holds the imputed values, then one block per spec.
 
     A task gets one stock over one block of days and the day before it, i.e. at most
-    ``day_block + 1`` days of the time range.
+    ``day_block + 1`` days of the time range. Days that are no target only pass on
+    their sums.
     """
     base = base_columns(raw.columns)
-    rows = with_day_blocks(raw.select(*base, vector.pack(features).alias("_x")), day_block)
-    rows = rows.withColumn("_halo", F.floor(F.col("dateid") / F.lit(day_block)) != F.col("_block"))
+    rows = with_day_blocks(raw.select(*base, pack(features).alias("_x")), day_block)
+    own = F.floor(F.col("dateid") / F.lit(day_block)) == F.col("_block")
+    marked = F.broadcast(targets.select("dateid", F.lit(True).alias("_target")))
+    rows = rows.join(marked, "dateid", "left").withColumn("_out", own & F.col("_target").isNotNull())
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*base, "_x").schema)
     specs = tuple(specs)
 
     def average_block(block: pa.Table) -> pa.Table:
         block = block.sort_by([("dateid", "ascending"), ("timeid", "ascending")])
-        values = vector.to_matrix(block.column("_x"))
+        values = to_matrix(block.column("_x"))
         days = block.column("dateid").to_numpy()
-        halo = block.column("_halo").to_numpy()
-        parts, kept = [], []
-        for day in np.unique(days[~halo]):
+        wanted = block.column("_out").to_numpy()
+        parts, kept, history, before = [], [], None, None
+        for day in np.unique(days):
             here = slice(*np.searchsorted(days, [day, day + 1]))
-            both = slice(*np.searchsorted(days, [day - 1, day + 1]))
-            back = here.start - both.start
-            same = vector.impute_matrix(values[here], impute_half_life)
-            across = vector.impute_matrix(values[both], impute_half_life)
-            blocks = [same if decimals is None else np.rint(same * 10.0**decimals) / 10.0**decimals]
-            for spec in specs:
-                source, skip = (across, back) if spec.cross_day else (same, 0)
-                blocks.append(vector.ewma_matrix(source, spec.half_life, spec.min_count, decimals)[skip:])
-            parts.append(np.hstack(blocks))
-            kept.append(block.select(base).slice(here.start, here.stop - here.start))
+            history = history if before == day - 1 else None
+            averages, history = average_day(values[here], history, specs, impute_half_life)
+            before = day
+            if wanted[here.start]:
+                parts.append(averages.reshape(len(averages), -1))
+                kept.append(block.select(base).slice(here.start, here.stop - here.start))
         if not parts:
             return block.select([*base, "_x"]).slice(0, 0)
-        return pa.concat_tables(kept).append_column("_x", vector.to_lists(np.vstack(parts)))
+        return pa.concat_tables(kept).append_column("_x", to_lists(snap_matrix(np.vstack(parts), decimals)))
 
-    averaged = rows.groupBy("stockid", "_block").applyInArrow(average_block, fields)
-    return averaged.join(F.broadcast(targets), "dateid", "left_semi").select(*base, "_x")
+    return rows.groupBy("stockid", "_block").applyInArrow(average_block, fields)
 
 
 def build_packets(
@@ -154,24 +196,26 @@ def build_packets(
     blocks = [None, *(s.suffix for s in specs)]
     ranks = len(features) * len(blocks)
     largest = largest_group(raw) if largest is None else largest
+    short = all(fits_one_window(s.half_life, 2 * times_per_day) for s in specs)
+    packed = short and (engine == "vector" or (engine == "auto" and len(features) > NARROW))
     if engine == "auto":
         engine = choose_engine(ranks, largest)
-    short = all(fits_one_window(s.half_life, 2 * times_per_day) for s in specs)
     group = ["dateid", "_slot", "timeid"]
     slot = F.floor(F.col("timeid") / F.lit(times_per_task(largest, ranks, times_per_day))).cast("int")
 
-    if engine == "vector" and short:
-        packed = packed_averages(raw, features, targets, specs, impute_half_life, decimals, day_block)
-        placed = packed.withColumn("_slot", slot).repartition("dateid", "_slot")
-        ranked = vector.rank_packed(placed, group, "_x")
-        out = [rank_name(f, b) for b in blocks for f in features]
-        return ranked.select(*KEYS, *labels, *vector.unpack("_x", out))
-
-    averaged = imputed_averages(
-        raw, features, targets, specs, impute_half_life, decimals, times_per_day, day_block
-    )
     sources = {(f"{f}_{b}" if b else f): rank_name(f, b) for b in blocks for f in features}
-    placed = averaged.withColumn("_slot", slot).repartition("dateid", "_slot")
+    if packed:
+        averaged = packed_averages(raw, features, targets, specs, impute_half_life, decimals, day_block)
+        placed = averaged.withColumn("_slot", slot).repartition("dateid", "_slot")
+        if engine == "vector":
+            ranked = rank_packed(placed, group, "_x")
+            return ranked.select(*KEYS, *labels, *unpack("_x", list(sources.values())))
+        placed = placed.select(*KEYS, *labels, "_slot", *unpack("_x", list(sources)))
+    else:
+        averaged = imputed_averages(
+            raw, features, targets, specs, impute_half_life, decimals, times_per_day, day_block
+        )
+        placed = averaged.withColumn("_slot", slot).repartition("dateid", "_slot")
     ranked = xsec_rank(placed, list(sources), group, sources, largest=largest, engine=engine)
     return ranked.select(*packet_columns(features, labels, specs))
 

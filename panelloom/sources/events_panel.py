@@ -37,30 +37,39 @@ def event_cells(events: DataFrame) -> DataFrame:
 def events_panel(spark: SparkSession, folder: str) -> EventsPanel:
     """Dense user x day x hour panel; hours without events are missing.
 
-    The empty grid is added as valueless rows below the events, so one grouping
-    does both the statistics and the densifying and no join is needed. Sums are
-    partial before the shuffle, so a user with very many events is no hot spot.
-    Only two numbers reach the driver: the day span and the number of users.
+    Statistics are partial before the shuffle, so a user with very many events is no
+    hot spot. The cells of a user and day, 24 at most, become one map that is laid
+    over the empty user x day grid; hours are spread out only after that join, so
+    the dense rows are never shuffled and already lie by user. Just the day span and
+    the number of users reach the driver.
     """
     cells = event_cells(spark.read.parquet(f"{folder}/events.parquet"))
-    span = cells.agg(F.max("dateid").alias("day"), F.count_distinct("stockid").alias("users")).first()
+    users = cells.groupBy("stockid").agg(F.max("dateid").alias("day"))
+    span = users.agg(F.max("day").alias("day"), F.count(F.lit(1)).alias("users")).first()
     days = span["day"] + 1
-    grid = (
-        cells.select("stockid")
-        .distinct()
-        .select("stockid", F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("dateid"))
-        .select("stockid", "dateid", F.explode(F.sequence(F.lit(0), F.lit(HOURS - 1))).alias("timeid"))
-        .withColumn("value", F.lit(None).cast("double"))
+    stats = F.struct(
+        F.avg("value").alias("v_avg"),
+        F.min("value").alias("v_min"),
+        F.max("value").alias("v_max"),
+        F.sum("value").alias("v_sum"),
     )
+    hours = (
+        cells.groupBy(*KEYS)
+        .agg(stats.alias("stats"))
+        .groupBy("stockid", "dateid")
+        .agg(F.map_from_entries(F.collect_list(F.struct("timeid", "stats"))).alias("hours"))
+    )
+    grid = users.select("stockid", F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("dateid"))
     panel = (
-        cells.unionByName(grid)
-        .groupBy(*KEYS)
-        .agg(
-            F.avg("value").alias("v_avg"),
-            F.min("value").alias("v_min"),
-            F.max("value").alias("v_max"),
-            F.sum("value").alias("v_sum"),
+        grid.join(hours, ["stockid", "dateid"], "left")
+        .withColumn("timeid", F.explode(F.sequence(F.lit(0), F.lit(HOURS - 1))))
+        .withColumn("stats", F.try_element_at("hours", F.col("timeid")))
+        .select(
+            *KEYS,
+            snap(F.col("stats.v_avg"), 9).alias("v_avg"),
+            "stats.v_min",
+            "stats.v_max",
+            snap(F.col("stats.v_sum"), 9).alias("v_sum"),
         )
-        .withColumns({c: snap(F.col(c), 9) for c in ("v_avg", "v_sum")})
     )
     return EventsPanel(panel, days, span["users"])
