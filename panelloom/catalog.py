@@ -417,7 +417,7 @@ def range_gate(spark, folder):
 
 
 def backfilled_packets(spark, folder):
-    """First the even half of the days, then the rest by skipping what is there."""
+    """Build the first half of the days, then the whole range, skipping what is there."""
     panel, shards, _ = _shards(spark, folder)
     raw = read_days(spark, shards, stored_schema(panel.df), panel.df.columns)
     path = scratch_path(spark, "packets")

@@ -32,7 +32,7 @@ from panelloom.operators import vector
 from panelloom.session import pin
 from panelloom.spec import CROSS_SECTION
 
-NARROW = 16
+NARROW = 8
 SPLIT_ROWS = 2_000_000
 VECTOR_BYTES = 256 * 1024 * 1024
 HEAVY_SHARE = 10_000

@@ -25,8 +25,9 @@ BLOCK_ROWS = 4 * TS_RANK_ROWS
 
 def trailing_rank(values: np.ndarray, rows: int) -> np.ndarray:
     """Per column, the rank of each value among the present ones of the ``rows`` ending at it."""
-    frames = pd.DataFrame(values).rolling(rows, min_periods=1)
-    place, present = frames.rank().to_numpy(), frames.count().to_numpy()
+    place = pd.DataFrame(values).rolling(rows, min_periods=1).rank().to_numpy()
+    present = np.cumsum(~np.isnan(values), axis=0)
+    present[rows:] -= present[:-rows].copy()
     scaled = (place - 1) / np.maximum(present - 1, 1)
     return np.where(np.isnan(values), np.nan, np.where(present == 1, 0.5, scaled))
 

@@ -44,9 +44,10 @@ def to_lists(matrix: np.ndarray) -> pa.ListArray:
 def rank_matrix(values: np.ndarray) -> np.ndarray:
     """Normalised average-tie rank of each column."""
     rows = values.shape[0]
-    work = np.ascontiguousarray(values.T)
+    work = np.array(values.T, order="C")
     order = np.argsort(work, axis=1)
-    ranked = np.take_along_axis(work, order, axis=1)
+    order += np.arange(work.shape[0])[:, None] * rows
+    ranked = work.take(order)
     missing = np.isnan(ranked)
     present = rows - missing.sum(axis=1, keepdims=True)
     place = np.arange(rows, dtype=np.float64)
@@ -63,9 +64,8 @@ def rank_matrix(values: np.ndarray) -> np.ndarray:
         scaled[tied] = (first + last) / 2.0 / np.maximum(present[tied] - 1, 1)
     scaled[(present == 1)[:, 0]] = 0.5
     scaled[missing] = np.nan
-    out = np.empty_like(work)
-    np.put_along_axis(out, order, scaled, axis=1)
-    return out.T
+    work.put(order, scaled)
+    return work.T
 
 
 def snap_matrix(values: np.ndarray, decimals: int | None) -> np.ndarray:
@@ -74,47 +74,43 @@ def snap_matrix(values: np.ndarray, decimals: int | None) -> np.ndarray:
     return np.rint(values * 10.0**decimals) / 10.0**decimals
 
 
-class RunningMeans:
-    """Decaying sums of several series sets at once, one row per half-life.
+def decayed_means(
+    values: np.ndarray, half_lives: Sequence[float], source: Sequence[int], start: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Causal averages down a series of value sets, ``rows x sets x width``.
 
-    Both sums shrink by 2^(-1 / half_life) per step, so their ratio is the weighted
-    mean and nothing can overflow. ``end`` hands a set's sums on to a later start.
+    Average k runs over set ``source[k]`` and comes out as ``[:, k]``. Its two sums
+    shrink by 2^(-1 / half_life) per row, so their ratio is the weighted mean and
+    nothing overflows. The sums at the end are returned too; given as ``start`` they
+    continue a series.
     """
-
-    def __init__(self, half_lives: Sequence[float], width: int):
-        self.keep = 2.0 ** (-1.0 / np.asarray(half_lives, dtype=float))[:, None]
-        self.total = np.zeros((len(half_lives), width))
-        self.norm = np.zeros((len(half_lives), width))
-        self.count = np.zeros((len(half_lives), width))
-
-    def end(self, rows: slice) -> tuple[np.ndarray, ...]:
-        return tuple(a[rows].copy() for a in (self.total, self.norm, self.count))
-
-    def start(self, rows: slice, state: tuple[np.ndarray, ...]) -> None:
-        for mine, other in zip((self.total, self.norm, self.count), state):
-            mine[rows] = other
-
-    def step(self, values: np.ndarray) -> np.ndarray:
-        present = values == values
-        self.total *= self.keep
-        self.total += np.where(present, values, 0.0)
-        self.norm *= self.keep
-        self.norm += present
-        self.count += present
-        return self.total / self.norm
+    rows, _, width = values.shape
+    present = ~np.isnan(values)
+    zeroed, weight = np.where(present, values, 0.0), present.astype(float)
+    rate = 2.0 ** (-1.0 / np.asarray(half_lives, dtype=float))
+    keep = np.repeat(rate[:, None], width, axis=1)
+    picked = np.asarray(source)
+    sums = np.zeros((2, len(rate), width)) if start is None else start.copy()
+    total, norm = sums
+    means = np.empty((rows, len(rate), width))
+    with np.errstate(invalid="ignore"):
+        for i in range(rows):
+            total *= keep
+            total += zeroed[i].take(picked, axis=0)
+            norm *= keep
+            norm += weight[i].take(picked, axis=0)
+            np.divide(total, norm, out=means[i])
+    return means, sums
 
 
 def ewma_matrix(
     values: np.ndarray, half_life: float, min_count: int = 1, decimals: int | None = None
 ) -> np.ndarray:
     """Causal average down each column; rows are the series in order."""
-    means = RunningMeans([half_life], values.shape[1])
-    out = np.empty_like(values)
-    with np.errstate(invalid="ignore"):
-        for i, row in enumerate(values):
-            mean = means.step(row)[0]
-            out[i] = mean if min_count <= 1 else np.where(means.count[0] >= min_count, mean, np.nan)
-    return snap_matrix(out, decimals)
+    means = decayed_means(values[:, None], [half_life], [0])[0][:, 0]
+    if min_count > 1:
+        means[np.cumsum(~np.isnan(values), axis=0) < min_count] = np.nan
+    return snap_matrix(means, decimals)
 
 
 def impute_matrix(values: np.ndarray, half_life: float) -> np.ndarray:

@@ -23,7 +23,7 @@ from panelloom.operators.days import (
 from panelloom.operators.ewma import causal_ewma, causal_impute, fits_one_window
 from panelloom.operators.rank import NARROW, choose_engine, largest_group, xsec_rank
 from panelloom.operators.vector import (
-    RunningMeans,
+    decayed_means,
     pack,
     rank_packed,
     snap_matrix,
@@ -91,37 +91,34 @@ def imputed_averages(
 def average_day(
     values: np.ndarray, history: tuple | None, specs: Sequence[EwmaSpec], impute_half_life: float
 ) -> tuple[np.ndarray, tuple]:
-    """One stock and day: imputed values and averages, ``rows x (1 + specs) x features``.
+    """One stock and day: imputed values, then one block of columns per average.
 
     Every average is run down the day once. The cross-day ones start from the sums
     the day before ended with, which is all the two-day frame adds; ``history`` holds
     them, and what is returned with the result is the same for the next day.
     """
-    rows, width = values.shape
     same = [k for k, s in enumerate(specs) if not s.cross_day]
     cross = [k for k, s in enumerate(specs) if s.cross_day]
-    fill = RunningMeans([impute_half_life] * 2, width)
+    width = values.shape[1]
+    # Averages in the order same-day, cross-day, and cross-day run over this day alone.
     lives = [specs[k].half_life for k in [*same, *cross, *cross]]
-    means = RunningMeans(lives, width)
-    day_only, across = len(same) + len(cross), slice(len(same) + len(cross), None)
-    carried = slice(len(same), day_only)
+    source = [0] * len(same) + [1] * len(cross) + [0] * len(cross)
+    across = slice(len(same), len(specs))
+    fill_start, start = np.zeros((2, 2, width)), np.zeros((2, len(lives), width))
+    seen = np.zeros((2, width), dtype=int)
     if history is not None:
-        fill.start(slice(1, 2), history[0])
-        means.start(across, history[1])
-    shown = np.empty(len(specs), dtype=int)
-    shown[same], shown[cross] = np.arange(len(same)), day_only + np.arange(len(cross))
-    least = np.array([s.min_count for s in specs])[:, None]
-    out = np.empty((rows, 1 + len(specs), width))
-    source = np.empty((len(lives), width))
-    with np.errstate(invalid="ignore"):
-        for i, row in enumerate(values):
-            filled = np.where(np.isnan(row), fill.step(row[None, :]), row)
-            source[:day_only], source[across] = filled[0], filled[1]
-            mean = means.step(source)[shown]
-            if (least > 1).any():
-                mean = np.where(means.count[shown] >= least, mean, np.nan)
-            out[i, 0], out[i, 1:] = filled[0], mean
-    return out, (fill.end(slice(0, 1)), means.end(carried))
+        fill_start[:, 1], start[:, across], seen[1] = history
+
+    fill, fill_end = decayed_means(values[:, None], [impute_half_life] * 2, [0, 0], fill_start)
+    filled = np.where(np.isnan(values)[:, None], fill, values[:, None])
+    means, end = decayed_means(filled, lives, source, start)
+    counts = np.cumsum(~np.isnan(filled), axis=0) + seen
+    out = [filled[:, 0]]
+    for k, spec in enumerate(specs):
+        mean = means[:, same.index(k) if k in same else len(same) + cross.index(k)]
+        enough = counts[:, 1 if spec.cross_day else 0] >= spec.min_count
+        out.append(mean if spec.min_count <= 1 else np.where(enough, mean, np.nan))
+    return np.hstack(out), (fill_end[:, 0], end[:, len(specs) :], counts[-1, 0])
 
 
 def packed_averages(
@@ -159,7 +156,7 @@ def packed_averages(
             averages, history = average_day(values[here], history, specs, impute_half_life)
             before = day
             if wanted[here.start]:
-                parts.append(averages.reshape(len(averages), -1))
+                parts.append(averages)
                 kept.append(block.select(base).slice(here.start, here.stop - here.start))
         if not parts:
             return block.select([*base, "_x"]).slice(0, 0)

@@ -59,7 +59,12 @@ def events_panel(spark: SparkSession, folder: str) -> EventsPanel:
         .groupBy("stockid", "dateid")
         .agg(F.map_from_entries(F.collect_list(F.struct("timeid", "stats"))).alias("hours"))
     )
-    grid = users.select("stockid", F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("dateid"))
+    # A fixed partition count: sized by the few rows seen here, adaptive execution
+    # would merge partitions that the hours then make 24 times larger.
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    grid = users.select(
+        "stockid", F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("dateid")
+    ).repartition(partitions, "stockid", "dateid")
     panel = (
         grid.join(hours, ["stockid", "dateid"], "left")
         .withColumn("timeid", F.explode(F.sequence(F.lit(0), F.lit(HOURS - 1))))

@@ -5,9 +5,10 @@ from conftest import FEATURES, TIMES, assert_close, by_keys, ewma_pdf, make_pane
 
 from panelloom.functions.numeric import clean_features
 from panelloom.operators.days import blocked_days, buildable_days, day_range, present_days
+from panelloom.operators.rank import xsec_rank
 from panelloom.plans.legacy import build_legacy_packets
-from panelloom.plans.packet import build_packets, plan_days
-from panelloom.spec import EWMA_SPECS, legacy_columns, packet_columns, rank_name
+from panelloom.plans.packet import build_packets, imputed_averages, plan_days
+from panelloom.spec import EWMA_SPECS, KEYS, EwmaSpec, legacy_columns, packet_columns, rank_name
 
 
 def snap(x):
@@ -47,8 +48,9 @@ def expected(panel_pdf):
     return by_keys(pd.concat([packet_pdf(panel_pdf, d) for d in (0, 1, 2)]))
 
 
-@pytest.mark.parametrize("engine", ["windows", "long", "vector", "split"])
-@pytest.mark.parametrize("day_block", [2, 8])
+@pytest.mark.parametrize(
+    "engine,day_block", [("windows", 2), ("vector", 2), ("vector", 8), ("auto", 8), ("split", 8)]
+)
 def test_packet_equals_day_by_day(panel, panel_pdf, expected, engine, day_block):
     _, targets = plan_days(panel, 0, 3)
     packets = build_packets(panel, FEATURES, targets, engine=engine, day_block=day_block)
@@ -61,9 +63,10 @@ def test_packet_equals_day_by_day(panel, panel_pdf, expected, engine, day_block)
     assert_close(out["LabelB"], labels["LabelB"])
 
 
-def test_range_reads_the_day_before(panel, expected):
+@pytest.mark.parametrize("engine", ["auto", "vector"])
+def test_range_reads_the_day_before(panel, expected, engine):
     _, targets = plan_days(panel, 1, 2)
-    out = by_keys(build_packets(panel, FEATURES, targets))
+    out = by_keys(build_packets(panel, FEATURES, targets, engine=engine))
     assert out["dateid"].unique().tolist() == [1]
     want = expected[expected.dateid == 1].reset_index(drop=True)
     for c in expected.columns[3:]:
@@ -89,16 +92,21 @@ def test_packet_widths():
     assert len(legacy_columns(names)) == 774
 
 
-@pytest.mark.parametrize("engine", ["windows", "vector"])
-def test_wide_packet_engines_agree(spark, engine):
-    """Columns well past the narrow limit, one time point per task slot."""
-    names = [f"f{i}" for i in range(24)]
-    pdf = make_panel(stocks=9, days=(0, 1), times=12, features=names)
+def test_wide_packet_engines_agree(spark):
+    """More features than the narrow limit, gated averages, a second cross-day horizon."""
+    names = [f"f{i}" for i in range(10)]
+    specs = (EwmaSpec(5, "a"), EwmaSpec(24, "b", 3, True), EwmaSpec(7, "c", 2), EwmaSpec(12, "d", 1, True))
+    pdf = make_panel(stocks=9, days=(0, 1, 2), times=12, features=names)
     raw = clean_features(spark.createDataFrame(pdf), names)
-    _, targets = plan_days(raw, 0, 2)
-    auto = by_keys(build_packets(raw, names, targets, times_per_day=12))
-    other = by_keys(build_packets(raw, names, targets, times_per_day=12, engine="long"))
-    pd.testing.assert_frame_equal(auto, other, check_dtype=False)
+    _, targets = plan_days(raw, 0, 3)
+    auto = by_keys(build_packets(raw, names, targets, specs, times_per_day=12, day_block=2))
+    plain = imputed_averages(raw, names, targets, specs, times_per_day=12).drop("LabelA", "LabelB", "LabelC")
+    plain = by_keys(xsec_rank(plain, [c for c in plain.columns if c not in KEYS], engine="vector"))
+    for name in names:
+        for spec in (None, *specs):
+            suffix = spec.suffix if spec else None
+            source = f"{name}_{suffix}" if suffix else name
+            assert_close(auto[rank_name(name, suffix)], plain[f"{source}_r"])
 
 
 def test_legacy_packet(panel, panel_pdf):
