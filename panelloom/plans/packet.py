@@ -159,7 +159,7 @@ def packed_averages(
                 parts.append(averages)
                 kept.append(block.select(base).slice(here.start, here.stop - here.start))
         if not parts:
-            return block.select([*base, "_x"]).slice(0, 0)
+            return block.select(base).slice(0, 0).append_column("_x", to_lists(np.empty((0, 1))))
         return pa.concat_tables(kept).append_column("_x", to_lists(snap_matrix(np.vstack(parts), decimals)))
 
     return rows.groupBy("stockid", "_block").applyInArrow(average_block, fields)
