@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelloom.session import spread
+
 # Days per block of the two-day frame. A block also holds the day before it, so
 # (1 + 1 / DAY_BLOCK) of the rows are shuffled instead of twice the rows.
 DAY_BLOCK = 8
@@ -52,7 +54,7 @@ def two_day_frames(raw: DataFrame, targets: DataFrame, day_block: int = DAY_BLOC
     ``FRAME_SERIES`` or ``FRAME_DAY_SERIES`` need no further shuffle. ``targets`` has
     one row per day asked for, which bounds the broadcast.
     """
-    placed = with_day_blocks(raw, day_block).repartition("stockid", "_block")
+    placed = spread(with_day_blocks(raw, day_block), "stockid", "_block")
     both = placed.withColumn(
         "target_dateid", F.explode(F.array(F.col("dateid"), F.col("dateid") + 1))
     ).where(F.floor(F.col("target_dateid") / F.lit(day_block)) == F.col("_block"))

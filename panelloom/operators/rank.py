@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.operators import vector
-from panelloom.session import pin
+from panelloom.session import pin, spread
 from panelloom.spec import CROSS_SECTION
 
 NARROW = 8
@@ -152,12 +152,13 @@ def xsec_rank(
     largest: int | None = None,
     engine: str = "auto",
     split_above: int = SPLIT_ROWS,
+    placed: bool = False,
 ) -> DataFrame:
     """Replace ``columns`` by their ranks within ``by``, named ``{column}_r`` by default.
 
     The other columns are kept and must identify a row. ``largest`` is the size of
-    the largest group where the caller knows it; else it is measured. ``by`` must
-    not be NULL.
+    the largest group where the caller knows it; else it is measured. ``placed`` says
+    that the rows are already partitioned by some of ``by``. ``by`` must not be NULL.
     """
     names = names or {c: f"{c}_r" for c in columns}
     ids = [c for c in df.columns if c not in set(columns)]
@@ -167,6 +168,8 @@ def xsec_rank(
         if engine == "vector" and weight is not None:
             engine = "long"
 
+    if engine in ("windows", "vector") and not placed:
+        df = spread(df, *by)
     if engine == "windows":
         own = None if weight is None else F.col(weight)
         return df.select(*ids, *(rank_over(F.col(c), by, own).alias(names[c]) for c in columns))

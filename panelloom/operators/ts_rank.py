@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from panelloom.operators.long_series import with_position
 from panelloom.operators.vector import pack, to_lists, to_matrix, unpack
+from panelloom.session import spread
 from panelloom.spec import TIMES_PER_DAY, TS_RANK_ROWS, ts_rank_name
 
 BLOCK_ROWS = 4 * TS_RANK_ROWS
@@ -61,5 +62,5 @@ def ts_rank(
         out = block.select(ids).append_column("_x", to_lists(ranks))
         return out.filter(pa.array(kept))
 
-    ranked = blocks.groupBy("stockid", "_block").applyInArrow(rank_block, fields)
+    ranked = spread(blocks, "stockid", "_block").groupBy("stockid", "_block").applyInArrow(rank_block, fields)
     return ranked.select(*ids, *unpack("_x", [ts_rank_name(c) for c in columns]))

@@ -31,6 +31,7 @@ from panelloom.operators.vector import (
     to_matrix,
     unpack,
 )
+from panelloom.session import spread
 from panelloom.spec import (
     EWMA_SPECS,
     IMPUTE_HALF_LIFE,
@@ -162,7 +163,7 @@ def packed_averages(
             return block.select(base).slice(0, 0).append_column("_x", to_lists(np.empty((0, 1))))
         return pa.concat_tables(kept).append_column("_x", to_lists(snap_matrix(np.vstack(parts), decimals)))
 
-    return rows.groupBy("stockid", "_block").applyInArrow(average_block, fields)
+    return spread(rows, "stockid", "_block").groupBy("stockid", "_block").applyInArrow(average_block, fields)
 
 
 def build_packets(
@@ -203,7 +204,7 @@ def build_packets(
     sources = {(f"{f}_{b}" if b else f): rank_name(f, b) for b in blocks for f in features}
     if packed:
         averaged = packed_averages(raw, features, targets, specs, impute_half_life, decimals, day_block)
-        placed = averaged.withColumn("_slot", slot).repartition("dateid", "_slot")
+        placed = spread(averaged.withColumn("_slot", slot), "dateid", "_slot")
         if engine == "vector":
             ranked = rank_packed(placed, group, "_x")
             return ranked.select(*KEYS, *labels, *unpack("_x", list(sources.values())))
@@ -212,8 +213,8 @@ def build_packets(
         averaged = imputed_averages(
             raw, features, targets, specs, impute_half_life, decimals, times_per_day, day_block
         )
-        placed = averaged.withColumn("_slot", slot).repartition("dateid", "_slot")
-    ranked = xsec_rank(placed, list(sources), group, sources, largest=largest, engine=engine)
+        placed = spread(averaged.withColumn("_slot", slot), "dateid", "_slot")
+    ranked = xsec_rank(placed, list(sources), group, sources, largest=largest, engine=engine, placed=True)
     return ranked.select(*packet_columns(features, labels, specs))
 
 

@@ -15,7 +15,7 @@ def shared_dir(spark: SparkSession) -> str:
     cluster a machine-local folder would be lost with its machine.
     """
     context = spark.sparkContext
-    path = context.getConf().get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if path is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
@@ -38,3 +38,12 @@ def pin(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Shuffle by ``keys`` into exactly ``spark.sql.shuffle.partitions`` partitions.
+
+    Adaptive execution merges partitions by their compressed size. Sparse panels
+    compress so well that the work on them would end up in a handful of tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

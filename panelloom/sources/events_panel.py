@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.functions.numeric import snap
+from panelloom.session import spread
 from panelloom.spec import KEYS
 
 EPOCH = "2024-01-01"
@@ -59,14 +60,10 @@ def events_panel(spark: SparkSession, folder: str) -> EventsPanel:
         .groupBy("stockid", "dateid")
         .agg(F.map_from_entries(F.collect_list(F.struct("timeid", "stats"))).alias("hours"))
     )
-    # A fixed partition count: sized by the few rows seen here, adaptive execution
-    # would merge partitions that the hours then make 24 times larger.
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    grid = users.select(
-        "stockid", F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("dateid")
-    ).repartition(partitions, "stockid", "dateid")
+    grid = users.select("stockid", F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("dateid"))
     panel = (
-        grid.join(hours, ["stockid", "dateid"], "left")
+        spread(grid, "stockid", "dateid")
+        .join(hours, ["stockid", "dateid"], "left")
         .withColumn("timeid", F.explode(F.sequence(F.lit(0), F.lit(HOURS - 1))))
         .withColumn("stats", F.try_element_at("hours", F.col("timeid")))
         .select(

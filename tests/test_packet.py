@@ -130,4 +130,4 @@ def test_one_slot_shuffle_feeds_all_ranks(panel):
     _, targets = plan_days(panel, 0, 3)
     plan = build_packets(panel, FEATURES, targets, largest=20, engine="windows", times_per_day=TIMES)
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("REPARTITION_BY_COL") == 2
+    assert text.count("REPARTITION_BY_NUM") == 2
