@@ -7,7 +7,7 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-from panelloom.llm import pieces, records
+from panelloom.llm import pieces, records, rules, simhash
 from panelloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,15 +28,25 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"), _pieces(tokenizer_path("piece_bpe_32k.model")))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.verdicts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op8_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(tokenizer_path("word_bpe_49k.json"), encoding="utf-8") as file:
         definition = file.read()
     return records.write_and_read(read(spark, sf_dir, "documents"), definition, end_id=2)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_quality_rules": op7_quality_rules,
     "op8_token_records": op8_token_records,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLE: dict[str, str] = {}

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -75,5 +75,9 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def fields(df: DataFrame, names: Sequence[str]) -> list[Column]:
-    return [F.col(n) for n in names]
+def fresh(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have yet, whatever its letters' case."""
+    taken, name = {c.lower() for c in df.columns}, f"_{base}"
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
