@@ -6,8 +6,9 @@ from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelloom.llm import pieces, records, rules, simhash
+from panelloom.llm import pieces, records, rules, simhash, topk
 from panelloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,14 +43,38 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 QUERIES: dict[str, Query] = {
     "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_records": op8_token_records,
     "op9_simhash": op9_simhash,
+    "op10_top_k": op10_top_k,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_top_k": """
+        WITH v AS (
+            SELECT vec_id, i, CAST(floor(64 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
+            FROM embeddings, unnest(range(1, len(embedding) + 1)) AS t(i)
+        ),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.i = c.i AND q.vec_id <> c.vec_id
+            WHERE q.vec_id % 20 = 0
+            GROUP BY q.vec_id, c.vec_id
+        ),
+        ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}
 
 
 def queries() -> dict[str, Query]:

@@ -110,10 +110,13 @@ class WordEncoder:
         self.cuts[:, APOSTROPHE] = self.cuts[:, SIGN]
         self.cuts[APOSTROPHE, LETTER] = False  # the letters may belong to it
 
-    def words(self, lower: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    def words(self, array: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """Words of every text, and each text's first word among them."""
-        bounds = np.frombuffer(lower.buffers()[1], dtype=np.int64)[lower.offset : lower.offset + len(lower) + 1]
-        data = np.frombuffer(lower.buffers()[2] or b"", dtype=np.uint8)[: bounds[-1]].copy()
+        array = array.cast(pa.large_string())
+        bounds = np.frombuffer(array.buffers()[1], dtype=np.int64)[array.offset : array.offset + len(array) + 1]
+        data = np.frombuffer(array.buffers()[2] or b"", dtype=np.uint8)[bounds[0] : bounds[-1]].copy()
+        bounds = bounds - bounds[0]
+        data |= 0x20 * ((data >= ord("A")) & (data <= ord("Z"))).astype(np.uint8)
         kind = self.kinds[data]
         lead = np.flatnonzero(data == LATIN_1_LEAD)
         lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]  # two signs among the letters
@@ -153,13 +156,10 @@ class WordEncoder:
 
     def encode(self, array: pa.Array) -> list[np.ndarray]:
         """Ids of every text."""
-        lower = pc.ascii_lower(array.cast(pa.large_string()))
         whole = np.zeros(len(array), dtype=bool)
         for mark in self.special:
-            whole |= pc.match_substring(lower, mark.lower()).to_numpy(zero_copy_only=False)
-        if whole.any():
-            lower = pc.if_else(pa.array(whole), pa.scalar("", pa.large_string()), lower)
-        words, first = self.words(lower)
+            whole |= pc.match_substring(array, mark).to_numpy(zero_copy_only=False)
+        words, first = self.words(pc.if_else(pa.array(whole), "", array) if whole.any() else array)
         coded = words.dictionary_encode()
         ids, begins = self.word_ids(coded.dictionary.to_pylist())
         codes = coded.indices.to_numpy(zero_copy_only=False)
