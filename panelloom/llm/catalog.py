@@ -8,7 +8,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import pieces, records, rules, simhash, topk
+from panelloom.llm import licenses, mil, packing, pieces, records, rules, secrets, simhash, topk, toxicity
 from panelloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,29 @@ def _pieces(path: str) -> pieces.Pieces:
     return pieces.Pieces.load(path)
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.learn(docs))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return mil.score(docs, mil.learn(docs, read(spark, sf_dir, "labels")))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, read(spark, sf_dir, "labels")))
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(read(spark, sf_dir, "documents"), _pieces(tokenizer_path("piece_bpe_32k.model")))
 
@@ -49,6 +72,11 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_secrets": op1_secrets,
+    "op2_quality": op2_quality,
+    "op3_packing": op3_packing,
+    "op4_toxicity": op4_toxicity,
+    "op5_licenses": op5_licenses,
     "op6_sentencepiece": op6_sentencepiece,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_records": op8_token_records,
@@ -76,10 +104,3 @@ ORACLE: dict[str, str] = {
     """,
 }
 
-
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE)
