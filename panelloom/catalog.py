@@ -7,11 +7,12 @@ columns and values the SQL of the same name in ``oracle`` reproduces.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.functions.numeric import close_to, presence, snap
+from panelloom.functions.numeric import close_to, presence, settle, snap
 from panelloom.operators.checks import (
     active_days,
     all_missing,
@@ -26,18 +27,27 @@ from panelloom.operators.ewma import causal_ewma, causal_impute
 from panelloom.operators.rank import xsec_rank
 from panelloom.operators.scale import quantiles, standardize, winsorize
 from panelloom.operators.ts_rank import ts_rank
-from panelloom.plans.backfill import build_range, build_test_range
+from panelloom.plans.backfill import build_legacy_range, build_range, build_test_range
 from panelloom.plans.legacy import build_legacy_packets, with_empty_ts_rank
 from panelloom.plans.packet import build_packets, imputed_averages
-from panelloom.plans.quality import quality_report
+from panelloom.plans.quality import checked_averages, quality_report, rank_stability
 from panelloom.plans.shards import build_raw_shards, in_days
 from panelloom.plans.verify import gate, pending_days, verify_range
-from panelloom.session import scratch_path
+from panelloom.session import pin, scratch_path
 from panelloom.sinks.daily import read_days, stored_schema, write_days
 from panelloom.sources.events_panel import EventsPanel, event_cells, events_panel
 from panelloom.sources.footers import audit_days, audit_files
-from panelloom.sources.panel import day_of_path, slice_panel
-from panelloom.spec import CROSS_SECTION, EWMA_SPECS, KEYS, EwmaSpec, base_columns, packet_columns, rank_name
+from panelloom.sources.panel import day_file_name, day_of_path, read_daily_files, read_panel, slice_panel
+from panelloom.spec import (
+    CROSS_SECTION,
+    EWMA_SPECS,
+    KEYS,
+    TIE_BITS,
+    EwmaSpec,
+    base_columns,
+    packet_columns,
+    rank_name,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +56,12 @@ EXTRA_DAYS = 3
 SAME_DAY = {s.suffix: s for s in EWMA_SPECS if not s.cross_day}
 CROSS_DAY = next(s for s in EWMA_SPECS if s.cross_day)
 LONG_HISTORY = EwmaSpec(30, "ewma_30hl")
+LONG_SERIES = EwmaSpec(5, "ewma_5hl")
+SHOWN_BITS = 24
+# Range filters of the slice queries, inclusive.
+STOCKS, HOURS = (25, 124), (9, 17)
+# Powers of two: a scaled feature has the very ranks of the feature itself.
+SCALES = {"": 1.0, "_x2": 2.0, "_x8": 8.0, "_q4": 0.25}
 
 
 def _all_days(spark: SparkSession, panel: EventsPanel) -> DataFrame:
@@ -56,9 +72,9 @@ def _snapped(df: DataFrame, columns, decimals: int = 9) -> DataFrame:
     return df.withColumns({c: snap(F.col(c), decimals) for c in columns})
 
 
-def _shown(df: DataFrame) -> DataFrame:
-    """Averages are reported to six places: the ninth may differ between engines."""
-    return _snapped(df, [c for c in df.columns if c not in KEYS], decimals=6)
+def _shown(df: DataFrame, keys=KEYS) -> DataFrame:
+    """Averages are reported to 29 bits, nearly nine digits: the last bits may differ between engines."""
+    return df.withColumns({c: settle(F.col(c), SHOWN_BITS) for c in df.columns if c not in keys})
 
 
 # Sources and sinks
@@ -70,7 +86,7 @@ def panel_scan(spark, folder):
 
 def panel_slice(spark, folder):
     panel = events_panel(spark, folder)
-    return slice_panel(panel.df, panel.features, days=(7, 8), stocks=(0, 499), times=(0, 23))
+    return slice_panel(panel.df, panel.features, days=(7, 8), stocks=STOCKS, times=(0, 23))
 
 
 def _shards(spark, folder):
@@ -96,11 +112,31 @@ def pruned_read(spark, folder):
 
 def shard_receipt(spark, folder):
     _, _, receipt = _shards(spark, folder)
-    return receipt.select("dateid", "rows", (F.col("writes") >= 1).alias("has_files"))
+    folder = F.regexp_extract("output_path", "[^/]*$", 0)
+    return receipt.select("dateid", "rows", (F.col("writes") >= 1).alias("has_files"), folder.alias("folder"))
+
+
+def _break_day(spark, path: str, day: int) -> None:
+    """Put a file that is no parquet beside those of a day."""
+    context = spark.sparkContext
+    name = context._jvm.org.apache.hadoop.fs.Path(f"{path}/dateid={day}/part-broken.parquet")
+    stream = name.getFileSystem(context._jsc.hadoopConfiguration()).create(name)
+    stream.write(bytearray(b"PAR1 this is not parquet"))
+    stream.close()
+
+
+def _drop_day(spark, path: str, day: int) -> None:
+    context = spark.sparkContext
+    name = context._jvm.org.apache.hadoop.fs.Path(f"{path}/dateid={day}")
+    name.getFileSystem(context._jsc.hadoopConfiguration()).delete(name, True)
 
 
 def footer_audit(spark, folder):
+    """Day 5 has a broken file, day 8 a second, narrower one, day 9 nothing."""
     panel, path, _ = _shards(spark, folder)
+    _break_day(spark, path, 5)
+    panel.df.where("dateid = 8").drop("dateid", "v_sum").write.mode("append").parquet(f"{path}/dateid=8")
+    _drop_day(spark, path, 9)
     return audit_days(audit_files(spark, path), day_range(spark, 0, panel.days + EXTRA_DAYS))
 
 
@@ -143,7 +179,7 @@ def half_open_days(spark, folder):
 
 def inclusive_ranges(spark, folder):
     panel = events_panel(spark, folder)
-    return slice_panel(panel.df, panel.features, stocks=(0, 499), times=(9, 17))
+    return slice_panel(panel.df, panel.features, stocks=STOCKS, times=HOURS)
 
 
 def base_projection(spark, folder):
@@ -164,30 +200,30 @@ def presence_flags(spark, folder):
 # Joins, days
 
 
-def urgent_order_days(spark, folder):
-    """Days with a pending urgent order: a day list with gaps."""
+def order_days(spark, folder):
+    """Days with an order. Orders are sparse at their ends and here and there between, so the list has gaps."""
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))
-    urgent = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
-    return orders.where(urgent).select(day.alias("dateid")).distinct()
+    return orders.select(day.alias("dateid")).distinct()
 
 
 def _order_span(spark, folder) -> DataFrame:
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))
-    return day_range(spark, 0, orders.agg(F.max(day)).first()[0] + 1)
+    # Past the last day there are none, so the span asks for more than there is.
+    return day_range(spark, 0, orders.agg(F.max(day)).first()[0] + 1 + EXTRA_DAYS)
 
 
 def missing_output_days(spark, folder):
-    return missing_days(_order_span(spark, folder), urgent_order_days(spark, folder))
+    return missing_days(_order_span(spark, folder), order_days(spark, folder))
 
 
 def blocked_order_days(spark, folder):
-    return blocked_days(urgent_order_days(spark, folder))
+    return blocked_days(order_days(spark, folder))
 
 
 def buildable_order_days(spark, folder):
-    return buildable_days(urgent_order_days(spark, folder), _order_span(spark, folder))
+    return buildable_days(order_days(spark, folder), _order_span(spark, folder))
 
 
 def pending_output_days(spark, folder):
@@ -212,6 +248,43 @@ def raw_rank(engine: str) -> Query:
     return query
 
 
+def _cells(spark, folder) -> DataFrame:
+    """One row per event: keys repeat, and the rows of one hour have lost it."""
+    cells = event_cells(spark.read.parquet(f"{folder}/events.parquet"))
+    return cells.select("stockid", "dateid", F.when(F.col("timeid") != 5, F.col("timeid")).alias("timeid"), "value", (F.col("value") / 2).alias("half"))
+
+
+def cell_rank(engine: str, weighted: bool = False) -> Query:
+    def query(spark, folder):
+        cells = _cells(spark, folder)
+        if not weighted:
+            return xsec_rank(cells, ["value", "half"], engine=engine)
+        heavy = cells.withColumn("weight", (1 + F.col("stockid") % 7).cast("double"))
+        ranked = xsec_rank(heavy, ["value", "half"], weight="weight", engine=engine)
+        return _snapped(ranked, ["value_r", "half_r"])
+
+    return query
+
+
+def long_series_ewma(spark, folder):
+    """All events as one series, with the defaults."""
+    events = spark.read.parquet(f"{folder}/events.parquet")
+    series = events.select(F.lit(0).alias("one"), "event_id", "value")
+    averaged = causal_ewma(series, ["value"], [LONG_SERIES], ["one"], ["event_id"])
+    return _shown(averaged.select("event_id", "value_ewma_5hl"), ["event_id"])
+
+
+def scaled(query, factor: float) -> Query:
+    """The same over a panel whose values are all ``factor`` times as large."""
+
+    def run(spark, folder):
+        panel = events_panel(spark, folder)
+        df = panel.df.withColumns({f: F.col(f) * F.lit(factor) for f in panel.features})
+        return query(spark, replace(panel, df=df))
+
+    return run
+
+
 def same_day_ewma(suffix: str) -> Query:
     def query(spark, folder):
         panel = events_panel(spark, folder)
@@ -265,40 +338,45 @@ def cross_day_impute(spark, folder):
     return _shown(target_rows(filled).select(*KEYS, *panel.features))
 
 
-def _cross_day(spark, panel: EventsPanel, decimals: int | None) -> DataFrame:
+def _cross_day(spark, panel: EventsPanel, bits: int | None) -> DataFrame:
     averaged = imputed_averages(
         panel.df,
         panel.features,
         _all_days(spark, panel),
         specs=[CROSS_DAY],
-        decimals=decimals,
+        bits=bits,
         times_per_day=panel.times_per_day,
     )
     return averaged.select(*KEYS, *(f"{f}_{CROSS_DAY.suffix}" for f in panel.features))
 
 
 def cross_day_ewma(spark, folder):
-    return _shown(_cross_day(spark, events_panel(spark, folder), decimals=None))
+    return _shown(_cross_day(spark, events_panel(spark, folder), bits=None))
 
 
-def present_rank(spark, folder):
-    panel = events_panel(spark, folder)
-    filled = _snapped(causal_impute(panel.df, panel.features, max_rows=panel.times_per_day), panel.features)
+def _present_rank(spark, panel: EventsPanel) -> DataFrame:
+    filled = causal_impute(panel.df, panel.features, max_rows=panel.times_per_day, bits=TIE_BITS)
     return xsec_rank(filled, panel.features, names={f: rank_name(f) for f in panel.features}, largest=panel.users)
 
 
+def present_rank(spark, folder):
+    return _present_rank(spark, events_panel(spark, folder))
+
+
 def ewma_rank(suffix: str) -> Query:
     """Impute, average, rank."""
+    return lambda spark, folder: _ewma_rank(suffix)(spark, events_panel(spark, folder))
 
-    def query(spark, folder):
-        panel = events_panel(spark, folder)
+
+def _ewma_rank(suffix: str):
+    def query(spark, panel: EventsPanel) -> DataFrame:
         sources = {f"{f}_{suffix}": rank_name(f, suffix) for f in panel.features}
         if suffix == CROSS_DAY.suffix:
-            averaged = _cross_day(spark, panel, decimals=9)
+            averaged = _cross_day(spark, panel, bits=TIE_BITS)
         else:
             filled = causal_impute(panel.df, panel.features, max_rows=panel.times_per_day)
             averaged = causal_ewma(
-                filled, panel.features, [SAME_DAY[suffix]], max_rows=panel.times_per_day, decimals=9
+                filled, panel.features, [SAME_DAY[suffix]], max_rows=panel.times_per_day, bits=TIE_BITS
             ).select(*KEYS, *sources)
         return xsec_rank(averaged, list(sources), names=sources, largest=panel.users)
 
@@ -355,6 +433,14 @@ def missing_flags(spark, folder):
     return all_missing(legacy, [c for c in legacy.columns if c not in KEYS])
 
 
+def rounded_values_close(spark, folder):
+    """Rows per day whose value is not within a hundredth of a whole number, or missing."""
+    panel = events_panel(spark, folder)
+    return panel.df.groupBy("dateid").agg(
+        *(F.count_if(~close_to(F.col(f), F.rint(f), 0.0101)).alias(f"{f}_differs") for f in panel.features)
+    )
+
+
 def present_counts(spark, folder):
     panel = events_panel(spark, folder)
     return present_per_group(panel.df, panel.features)
@@ -402,18 +488,102 @@ def _shards_and_range(spark, folder, build=build_range):
 
 
 def build_report(spark, folder):
-    *_, (status, _, _) = _shards_and_range(spark, folder)
+    """Raw day 5 has a broken file and raw day 12 is gone; days past the end are asked for."""
+    panel, shards, _ = _shards(spark, folder)
+    _break_day(spark, shards, 5)
+    _drop_day(spark, shards, 12)
+    raw = read_days(spark, shards, stored_schema(panel.df), panel.df.columns)
+    options = dict(times_per_day=panel.times_per_day, largest=panel.users, raw_folder=shards)
+    status, _, _ = build_range(
+        spark, raw, panel.features, scratch_path(spark, "packets"), 0, panel.days + EXTRA_DAYS, **options
+    )
     return status
 
 
+def _damaged_range(spark, folder):
+    """Packets of which day 3 has a broken file, day 4 no rows and day 7 a column less."""
+    panel, _, path, _, _ = _shards_and_range(spark, folder)
+    _break_day(spark, path, 3)
+    stored = spark.read.parquet(f"{path}/dateid=7")
+    stored.limit(0).write.mode("overwrite").parquet(f"{path}/dateid=4")
+    narrow = pin(stored.drop(stored.columns[-1]))
+    narrow.write.mode("overwrite").parquet(f"{path}/dateid=7")
+    columns = len(packet_columns(panel.features, labels=[]))
+    return verify_range(spark, path, 0, panel.days + EXTRA_DAYS, columns)
+
+
 def verify_report(spark, folder):
-    *_, (_, report, _) = _shards_and_range(spark, folder)
-    return report.fillna(0, ["rows", "cols"])
+    return _damaged_range(spark, folder).fillna(0, ["rows", "cols"])
 
 
 def range_gate(spark, folder):
-    *_, (_, _, verdict) = _shards_and_range(spark, folder)
-    return verdict
+    return gate(_damaged_range(spark, folder))
+
+
+def _wide(panel: EventsPanel) -> tuple[DataFrame, list[str]]:
+    """Sixteen features and a label, missing values as NaN, as raw files may have them."""
+    columns = {f"{f}{s}": F.col(f) * F.lit(k) for s, k in SCALES.items() for f in panel.features}
+    nan = {n: F.coalesce(v, F.lit(float("nan"))).alias(n) for n, v in columns.items()}
+    label = F.coalesce("v_sum", F.lit(float("nan"))).alias("LabelA")
+    return panel.df.select(*KEYS, label, *nan.values()), list(nan)
+
+
+def wide_packet(spark, folder):
+    """Packets of a wide raw table, through the reader."""
+    panel = events_panel(spark, folder)
+    raw, features = _wide(panel)
+    path = scratch_path(spark, "wide")
+    raw.write.parquet(path)
+    stored = read_panel(spark, path, features, days=(0, panel.days), times=(0, panel.times_per_day - 1))
+    return build_packets(stored, features, _all_days(spark, panel), times_per_day=panel.times_per_day)
+
+
+def wide_packet_of_files(spark, folder):
+    """The same from one file a day, named by the day, each with its day inside."""
+    panel = events_panel(spark, folder)
+    raw, features = _wide(panel)
+    path = scratch_path(spark, "daily")
+    raw.withColumn("day", F.col("dateid")).repartition("day").write.partitionBy("day").parquet(f"{path}/made")
+    context = spark.sparkContext
+    made = context._jvm.org.apache.hadoop.fs.Path(f"{path}/made")
+    store = made.getFileSystem(context._jsc.hadoopConfiguration())
+    store.mkdirs(context._jvm.org.apache.hadoop.fs.Path(f"{path}/files"))
+    for status in store.globStatus(context._jvm.org.apache.hadoop.fs.Path(f"{path}/made/day=*/part-*")):
+        day = status.getPath().getParent().getName().split("=")[1]
+        store.rename(status.getPath(), context._jvm.org.apache.hadoop.fs.Path(f"{path}/files/{day_file_name(day)}"))
+    stored = read_daily_files(spark, f"{path}/files", features, ["LabelA"])
+    return build_packets(stored, features, _all_days(spark, panel), times_per_day=panel.times_per_day)
+
+
+def wide_averages(spark, folder):
+    """Averages and imputation of sixteen columns, with the defaults: the matrix form."""
+    panel = events_panel(spark, folder)
+    raw, features = _wide(panel)
+    clean = slice_panel(raw, features)
+    both = causal_ewma(clean, features, [LONG_HISTORY, EwmaSpec(5, "ewma_min2", min_count=2)])
+    return _shown(both.drop(*features, "LabelA"))
+
+
+def wide_impute(spark, folder):
+    panel = events_panel(spark, folder)
+    raw, features = _wide(panel)
+    return _shown(causal_impute(slice_panel(raw, features), features).drop("LabelA"))
+
+
+def legacy_range(spark, folder):
+    """Receipt of the legacy packets of all days."""
+    panel, shards, _ = _shards(spark, folder)
+    raw = read_days(spark, shards, stored_schema(panel.df), panel.df.columns)
+    receipt = build_legacy_range(spark, raw, panel.features, scratch_path(spark, "legacy"), 0, panel.days + EXTRA_DAYS)
+    return receipt.select("dateid", "rows")
+
+
+def collapsed_rank(spark, folder):
+    """A rank that was lost on the way: every value of v_max has signal, no rank is left."""
+    panel = events_panel(spark, folder)
+    averages = checked_averages(panel.df, panel.features, times_per_day=panel.times_per_day)
+    ranks = xsec_rank(averages, panel.features, largest=panel.users)
+    return rank_stability(averages, ranks.withColumn("v_max_r", F.when(F.col("v_max_r") < 0, F.col("v_max_r"))), panel.features)
 
 
 def backfilled_packets(spark, folder):
@@ -462,9 +632,29 @@ QUERIES: dict[str, Query] = {
     "j4_buildable_days": buildable_order_days,
     "u2_two_day_frames": two_day_rows,
     "w1_xsec_rank": raw_rank("auto"),
-    "w1_xsec_rank_long": raw_rank("long"),
+    "w1_xsec_rank_long": raw_rank("slices"),
     "w1_xsec_rank_vector": raw_rank("vector"),
     "w1_xsec_rank_split": raw_rank("split"),
+    "w1_cells_windows": cell_rank("windows"),
+    "w1_cells_vector": cell_rank("vector"),
+    "w1_cells_slices": cell_rank("slices"),
+    "w1_cells_split": cell_rank("split"),
+    "w2_long_series": long_series_ewma,
+    "w2_wide_averages": wide_averages,
+    "w4_wide_impute": wide_impute,
+    "w7_present_rank_tiny": scaled(_present_rank, 1e-10),
+    "w7_present_rank_huge": scaled(_present_rank, 1e10),
+    "w8_rank_ewma_30hl_tiny": scaled(_ewma_rank("ewma_30hl"), 1e-10),
+    "w8_rank_ewma_30hl_huge": scaled(_ewma_rank("ewma_30hl"), 1e10),
+    "w11_cells_windows": cell_rank("windows", weighted=True),
+    "w11_cells_vector": cell_rank("vector", weighted=True),
+    "w11_cells_slices": cell_rank("slices", weighted=True),
+    "w11_cells_split": cell_rank("split", weighted=True),
+    "m5_close_to_whole": rounded_values_close,
+    "p1_packet_wide": wide_packet,
+    "p1_packet_daily_files": wide_packet_of_files,
+    "p2_legacy_range": legacy_range,
+    "q1_collapsed_rank": collapsed_rank,
     "w2_ewma_5hl": same_day_ewma("ewma_5hl"),
     "w2_ewma_30hl": same_day_ewma("ewma_30hl"),
     "w2_ewma_60hl": same_day_ewma("ewma_60hl"),

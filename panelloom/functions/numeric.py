@@ -18,7 +18,7 @@ def clean_features(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def snap(value: Column, decimals: int | None) -> Column:
-    """Round to ``decimals`` places with plain double arithmetic.
+    """Round to ``decimals`` places with plain double arithmetic, for values of known size.
 
     ``round`` on a double goes through BigDecimal for every row; ``rint`` stays a
     machine instruction and is exact while ``value * 10^decimals`` is below 2^53.
@@ -29,6 +29,18 @@ def snap(value: Column, decimals: int | None) -> Column:
     return F.rint(value * F.lit(scale)) / F.lit(scale)
 
 
+def settle(value: Column, bits: int | None) -> Column:
+    """Round to ``53 - bits`` significant bits, by splitting the double with three exact operations.
+
+    Relative to the value, so small and large magnitudes are treated alike; beyond 1e290,
+    where the split would overflow, a value stays as it is.
+    """
+    if bits is None:
+        return value
+    wide = value * F.lit(float(2**bits + 1))
+    return F.when(F.abs(value) < F.lit(1e290), wide - (wide - value)).otherwise(value)
+
+
 def decay_weight(position: Column, half_life: float) -> Column:
     """Weight of a row, doubling every ``half_life`` positions."""
     return F.pow(F.lit(2.0), position / F.lit(float(half_life)))

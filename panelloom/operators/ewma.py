@@ -11,8 +11,11 @@ NaN-respecting exponential mean.
 With ``adjust=False`` every observation but the first of its series is weighted by
 ``1 - 2^(-1 / half_life)``, which is the plain recurrence on series without gaps.
 
-All columns and half-lives share one window specification, so a call costs one
-exchange, one sort and two Window nodes for any number of features.
+Three forms give the same numbers. Few columns share one window specification: one
+exchange, one sort and two Window nodes. Many columns travel as one array, and a series is
+worked on as a matrix. A series too long for either is cut into blocks (``long_series``).
+Which form holds follows from the rows of the longest series; where the caller does not
+know them, they are counted first.
 """
 
 from __future__ import annotations
@@ -22,9 +25,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelloom.functions.numeric import decay_weight, keep_or_fill, snap
+from panelloom.functions.numeric import decay_weight, keep_or_fill, settle
 from panelloom.operators.long_series import long_ewma
-from panelloom.spec import IMPUTE_HALF_LIFE, SERIES, TIMES_PER_DAY, EwmaSpec
+from panelloom.operators.rank import NARROW, VECTOR_BYTES, largest_group
+from panelloom.operators.vector import average_columns
+from panelloom.spec import IMPUTE_HALF_LIFE, SERIES, EwmaSpec
 
 # 2^(i / half_life) must stay a finite double, sums and products included.
 MAX_EXPONENT = 800
@@ -37,29 +42,34 @@ def fits_one_window(half_life: float, max_rows: int | None) -> bool:
     return max_rows is not None and max_rows <= MAX_SERIES_ROWS and max_rows / half_life <= MAX_EXPONENT
 
 
+def fits_one_task(columns: int, specs: int, max_rows: int) -> bool:
+    """Whether the longest series may be worked on as one matrix, results included."""
+    return max_rows * columns * (specs + 1) * 8 <= VECTOR_BYTES
+
+
 def causal_ewma(
     df: DataFrame,
     columns: Sequence[str],
     specs: Sequence[EwmaSpec],
     series: Sequence[str] = SERIES,
     order: Sequence[str] = ("timeid",),
-    max_rows: int | None = 2 * TIMES_PER_DAY,
+    max_rows: int | None = None,
     adjust: bool = True,
-    decimals: int | None = None,
+    bits: int | None = None,
 ) -> DataFrame:
     """Add ``{column}_{suffix}`` for every column and spec.
 
-    ``max_rows`` is the known bound on the rows of one series, e.g. from the time
-    range of the reader. A longer or unbounded series is cut into blocks instead.
+    ``max_rows`` is a bound on the rows of one series that the caller can vouch for, e.g. from
+    the time range of the reader; by default the longest series is counted.
     """
+    max_rows = largest_group(df, series) if max_rows is None else max_rows
+    if len(columns) > NARROW and fits_one_task(len(columns), len(specs), max_rows):
+        names = [[f"{c}_{s.suffix}" for c in columns] for s in specs]
+        lives, least = [s.half_life for s in specs], [s.min_count for s in specs]
+        return average_columns(df, columns, lives, least, names, series, order, adjust, bits)
     if not all(fits_one_window(s.half_life, max_rows) for s in specs):
-        if not adjust:
-            raise ValueError("adjust=False is only defined for series that fit one window")
-        out = df
-        for spec in specs:
-            out = long_ewma(out, columns, spec, series, order)
-        names = [f"{c}_{s.suffix}" for s in specs for c in columns]
-        return out.withColumns({n: snap(F.col(n), decimals) for n in names})
+        out = long_ewma(df, columns, specs, series, order, adjust=adjust)
+        return out.withColumns({n: settle(F.col(n), bits) for s in specs for n in (f"{c}_{s.suffix}" for c in columns)})
 
     ordered = Window.partitionBy(*series).orderBy(*order)
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -83,13 +93,13 @@ def causal_ewma(
         value, w = F.col(column), weight(column, spec)
         total = F.sum(value * w).over(running)
         norm = F.sum(F.when(value.isNotNull(), w)).over(running)
-        mean = snap(total / norm, decimals)
         if spec.min_count <= 1:
-            return mean
-        return F.when(F.count(value).over(running) >= spec.min_count, mean)
+            return total / norm
+        return F.when(F.count(value).over(running) >= spec.min_count, total / norm)
 
     added = {f"{c}_{s.suffix}": average(c, s) for s in specs for c in columns}
-    return framed.withColumns(added).drop(*helpers)
+    made = framed.withColumns(added).drop(*helpers)
+    return made if bits is None else made.withColumns({n: settle(F.col(n), bits) for n in added})
 
 
 def causal_impute(
@@ -99,16 +109,25 @@ def causal_impute(
     series: Sequence[str] = SERIES,
     order: Sequence[str] = ("timeid",),
     min_count: int = 1,
-    max_rows: int | None = 2 * TIMES_PER_DAY,
+    max_rows: int | None = None,
     names: Mapping[str, str] | None = None,
+    bits: int | None = None,
 ) -> DataFrame:
     """Fill each missing value with the causal average at its row.
 
     Filled values do not feed back into the average. ``names`` puts the result
-    under new names and keeps the raw column; by default it is replaced.
+    under new names and keeps the raw column; by default it is replaced. ``bits``
+    settles what is filled in; observed values stay as they are.
     """
+    max_rows = largest_group(df, series) if max_rows is None else max_rows
+    keep = names is not None
+    if len(columns) > NARROW and fits_one_task(len(columns), 1, max_rows):
+        made = [[(names or {}).get(c, c) for c in columns]]
+        return average_columns(
+            df, columns, [half_life], [min_count], made, series, order, bits=bits, fill=True, keep=keep
+        )
     spec = EwmaSpec(half_life, "fill", min_count)
-    filled = causal_ewma(df, columns, [spec], series, order, max_rows)
+    filled = causal_ewma(df, columns, [spec], series, order, max_rows, bits=bits)
     names = names or {c: c for c in columns}
     return filled.withColumns(
         {names[c]: keep_or_fill(F.col(c), F.col(f"{c}_fill")) for c in columns}

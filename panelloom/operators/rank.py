@@ -14,11 +14,16 @@ the size of the largest group:
 
 * ``windows`` - one Sort and one Window per column over a shared exchange; ``below``,
   ``tied`` and ``n`` are frames of the same window. For few columns.
-* ``long`` - columns become rows, then one Sort and one Window for all of them.
 * ``vector`` - all columns travel as one array and a group is ranked as a matrix.
   For many columns and groups of a checked size.
+* ``slices`` - the same for larger groups: a row's array is cut into slices of columns,
+  groups are ranked slice by slice, and the slices are put together by row number.
 * ``split`` - for groups too large for one task: equal values are counted first,
   the distinct values are range-partitioned, and partition totals give the offsets.
+
+All of them return one row for every input row, whatever its keys: a missing group key
+is a group of its own, and rows that are alike stay apart, by a row number that is
+pinned where a plan needs it. All of them take row weights.
 """
 
 from __future__ import annotations
@@ -29,12 +34,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.operators import vector
-from panelloom.session import pin, spread
+from panelloom.session import pin, same_keys, spread
 from panelloom.spec import CROSS_SECTION
 
+ENGINES = ("windows", "vector", "slices", "split")
 NARROW = 8
 SPLIT_ROWS = 2_000_000
-VECTOR_BYTES = 256 * 1024 * 1024
+# Bytes of one group as doubles; ranking holds about six times that.
+VECTOR_BYTES = 64 * 1024 * 1024
 HEAVY_SHARE = 10_000
 
 
@@ -49,7 +56,7 @@ def choose_engine(columns: int, largest: int, split_above: int = SPLIT_ROWS) ->
         return "split"
     if columns <= NARROW:
         return "windows"
-    return "vector" if largest * columns * 8 <= VECTOR_BYTES else "long"
+    return "vector" if largest * columns * 8 <= VECTOR_BYTES else "slices"
 
 
 def normalised(below: Column, tied: Column, own: Column, total: Column) -> Column:
@@ -104,43 +111,56 @@ def value_totals(
     offset, total = spans(Window.partitionBy(*group), "_size", "_part")
     parts = parts.select(*group, "_part", offset.alias("_offset"), total.alias("total"))
     inside, _ = spans(Window.partitionBy(*group, "_part"), "tied", value)
-    return (
-        placed.withColumn("_inside", inside)
-        .join(parts, [*group, "_part"])
-        .select(*group, value, "rows", "tied", (F.col("_offset") + F.col("_inside")).alias("below"), "total")
+    return same_keys(placed.withColumn("_inside", inside), parts, [*group, "_part"]).select(
+        *group, value, "rows", "tied", (F.col("_offset") + F.col("_inside")).alias("below"), "total"
     )
 
 
-def _ranked_long(long: DataFrame, by: Sequence[str], weight: str | None, split: bool) -> DataFrame:
-    """Rank ``_value`` of the long form within ``by`` and ``_column``."""
-    group = [*by, "_column"]
-    own = F.lit(1) if weight is None else F.col(weight)
-    if not split:
-        return long.withColumn("_rank", rank_over(F.col("_value"), group, own if weight else None))
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df`` with a row number ``_row``, written once so that it stays the same wherever it is read."""
+    return pin(df.withColumn("_row", F.monotonically_increasing_id()))
 
-    match = [*group, "_value"]
-    totals = pin(value_totals(long, group, "_value", split=True, measure=own))
+
+def _split_rank(df: DataFrame, columns: Sequence[str], by: Sequence[str], names, weight: str | None) -> DataFrame:
+    """Ranks of groups of any size: one value total per distinct value, joined back to the rows."""
+    numbered = _numbered(df)
+    carried = ["_row", *by] + ([weight] if weight and weight not in by else [])
+    long = numbered.unpivot(carried, list(columns), "_column", "_value")
+    own = F.lit(1) if weight is None else F.col(weight)
+    match = [*by, "_column", "_value"]
+    totals = pin(value_totals(long, match[:-1], "_value", split=True, measure=own))
     rows = totals.agg(F.sum("rows")).first()[0] or 0
     # Values held by more than this many rows number at most HEAVY_SHARE, whatever
     # the data size; they alone are broadcast, as joining on them would be skewed.
     limit = max(SPLIT_ROWS, rows // HEAVY_SHARE)
     heavy = F.broadcast(totals.where(F.col("rows") > limit).drop("rows"))
     light = totals.where(F.col("rows") <= limit).drop("rows")
-    rank = normalised(F.col("below"), F.col("tied"), own, F.col("total"))
     present = long.where(F.col("_value").isNotNull())
-    columns = [*long.columns, "_rank"]
-    return (
-        present.join(heavy, match)
-        .withColumn("_rank", rank)
-        .select(columns)
-        .unionByName(
-            present.join(heavy.select(match), match, "left_anti")
-            .join(light, match)
-            .withColumn("_rank", rank)
-            .select(columns)
-        )
-        .unionByName(long.where(F.col("_value").isNull()).withColumn("_rank", F.lit(None).cast("double")))
-    )
+    rank = normalised(F.col("below"), F.col("tied"), own, F.col("total"))
+    ranked = [
+        same_keys(some, part, match, "inner").select("_row", "_column", rank.alias("_rank"))
+        for some, part in ((present, heavy), (same_keys(present, heavy.select(match), match, "left_anti"), light))
+    ]
+    back = [F.max(F.when(F.col("_column") == c, F.col("_rank"))).alias(f"_r_{c}") for c in columns]
+    found = ranked[0].unionByName(ranked[1]).groupBy("_row").agg(*back)
+    ids = [c for c in df.columns if c not in set(columns)]
+    joined = numbered.select("_row", *ids).join(found, "_row", "left")
+    return joined.select(*ids, *(F.col(f"_r_{c}").alias(names[c]) for c in columns))
+
+
+def _sliced_rank(df: DataFrame, columns: Sequence[str], by: Sequence[str], names, weight: str | None, width: int) -> DataFrame:
+    """Ranks of wide, large groups: ``width`` columns of a group to a task."""
+    numbered = _numbered(df)
+    cuts = [list(columns[i : i + width]) for i in range(0, len(columns), width)]
+    carried = list(dict.fromkeys(["_row", *by, *([weight] if weight else [])]))
+    parts = F.array(*(vector.pack(cut) for cut in cuts))
+    sliced = numbered.select(*carried, F.posexplode(parts).alias("_slice", "_x"))
+    ranked = vector.rank_packed(spread(sliced, *by, "_slice"), [*by, "_slice"], "_x", weight)
+    back = [F.max_by("_x", F.when(F.col("_slice") == i, 1)).alias(f"_x{i}") for i in range(len(cuts))]
+    found = ranked.groupBy("_row").agg(*back)
+    ids = [c for c in df.columns if c not in set(columns)]
+    joined = numbered.select("_row", *ids).join(found, "_row", "left")
+    return joined.select(*ids, *(x for i, cut in enumerate(cuts) for x in vector.unpack(f"_x{i}", [names[c] for c in cut])))
 
 
 def xsec_rank(
@@ -156,29 +176,26 @@ def xsec_rank(
 ) -> DataFrame:
     """Replace ``columns`` by their ranks within ``by``, named ``{column}_r`` by default.
 
-    The other columns are kept and must identify a row. ``largest`` is the size of
-    the largest group where the caller knows it; else it is measured. ``placed`` says
-    that the rows are already partitioned by some of ``by``. ``by`` must not be NULL.
+    The other columns are kept. ``largest`` is the size of the largest group where the caller
+    knows it; else it is measured. ``placed`` says that the rows are already partitioned by
+    some of ``by``.
     """
     names = names or {c: f"{c}_r" for c in columns}
     ids = [c for c in df.columns if c not in set(columns)]
     if engine == "auto":
         largest = largest_group(df, by) if largest is None else largest
         engine = choose_engine(len(columns), largest, split_above)
-        if engine == "vector" and weight is not None:
-            engine = "long"
+    if engine not in ENGINES:
+        raise ValueError(f"engine is one of {', '.join(ENGINES)} or auto")
+    if engine == "split":
+        return _split_rank(df, columns, by, names, weight)
+    if engine == "slices":
+        largest = largest_group(df, by) if largest is None else largest
+        return _sliced_rank(df, columns, by, names, weight, max(1, VECTOR_BYTES // (8 * max(1, largest))))
 
-    if engine in ("windows", "vector") and not placed:
+    if not placed:
         df = spread(df, *by)
-    if engine == "windows":
-        own = None if weight is None else F.col(weight)
-        return df.select(*ids, *(rank_over(F.col(c), by, own).alias(names[c]) for c in columns))
     if engine == "vector":
-        if weight is not None:
-            raise ValueError("the vector plan ranks without weights")
-        return vector.rank_columns(df, columns, by, names)
-
-    long = df.unpivot(ids, list(columns), "_column", "_value")
-    ranked = _ranked_long(long, by, weight, split=engine == "split")
-    back = [F.max(F.when(F.col("_column") == c, F.col("_rank"))).alias(names[c]) for c in columns]
-    return ranked.groupBy(*ids).agg(*back)
+        return vector.rank_columns(df, columns, by, names, weight)
+    own = None if weight is None else F.col(weight)
+    return df.select(*ids, *(rank_over(F.col(c), by, own).alias(names[c]) for c in columns))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.operators.rank import SPLIT_ROWS, largest_group, value_totals
+from panelloom.session import same_keys
 from panelloom.spec import CROSS_SECTION
 
 
@@ -26,7 +27,7 @@ def standardize(df: DataFrame, columns: Sequence[str], by: Sequence[str] = CROSS
         *(F.avg(c).alias(f"_m_{c}") for c in columns), *(F.stddev_samp(c).alias(f"_s_{c}") for c in columns)
     )
     kept = [c for c in df.columns if c not in set(columns)]
-    return df.join(moments, list(by)).select(
+    return same_keys(df, moments, by).select(
         *kept,
         *(F.try_divide(F.col(c) - F.col(f"_m_{c}"), F.nullif(F.col(f"_s_{c}"), F.lit(0.0))).alias(c) for c in columns),
     )
@@ -37,13 +38,15 @@ def quantiles(
     columns: Sequence[str],
     probabilities: Sequence[float],
     by: Sequence[str] = CROSS_SECTION,
-    split: bool = False,
+    split: bool | None = None,
 ) -> DataFrame:
     """Exact interpolated quantiles, one row per group: ``{column}_q0``, ``{column}_q1``, ...
 
-    They are read off the cumulative counts of distinct values, so no task holds the
-    values of a large group.
+    They are read off the cumulative counts of distinct values. With ``split`` no task
+    holds the distinct values of a whole group; by default the largest group decides. A group
+    without any value has a row of NULLs.
     """
+    split = largest_group(df, by) > SPLIT_ROWS if split is None else split
     long = df.unpivot(list(by), list(columns), "_column", "_value")
     totals = value_totals(long, [*by, "_column"], "_value", split)
     aggs = []
@@ -58,7 +61,7 @@ def quantiles(
             low, high = holding(F.floor(at)), holding(F.ceil(at))
             share = F.max(F.when(F.col("_column") == c, at - F.floor(at)))
             aggs.append((low + (high - low) * share).alias(f"{c}_q{i}"))
-    return totals.groupBy(*by).agg(*aggs)
+    return same_keys(df.select(*by).distinct(), totals.groupBy(*by).agg(*aggs), by)
 
 
 def winsorize(
@@ -74,7 +77,7 @@ def winsorize(
     largest = largest_group(df, by) if largest is None else largest
     bounds = quantiles(df, columns, (lower, upper), by, split=largest > split_above)
     kept = [c for c in df.columns if c not in set(columns)]
-    return df.join(bounds, list(by), "left").select(
+    return same_keys(df, bounds, by).select(
         *kept,
         *(
             F.when(

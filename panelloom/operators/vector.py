@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LIST = pa.list_(pa.field("element", pa.float64()))
+# Half-lives over which weights may grow before they are scaled down again.
+STRETCH = 400
 
 
 def pack(columns: Sequence[str]) -> Column:
@@ -68,10 +70,45 @@ def rank_matrix(values: np.ndarray) -> np.ndarray:
     return work.T
 
 
-def snap_matrix(values: np.ndarray, decimals: int | None) -> np.ndarray:
-    if decimals is None:
+def weighted_rank_matrix(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The same with row weights in place of counts; a missing or zero weight counts nothing."""
+    rows, width = values.shape
+    work = values.T
+    order = np.argsort(work, axis=1, kind="stable")
+    ranked = np.take_along_axis(work, order, axis=1)
+    missing = np.isnan(ranked)
+    own = np.where(missing, 0.0, np.where(np.isnan(weights), 0.0, weights)[order])
+    upto = np.cumsum(own, axis=1)
+    total = upto[:, -1:]
+    edge = np.ones((width, 1), dtype=bool)
+    differs = ranked[:, 1:] != ranked[:, :-1]
+    place = np.arange(rows)
+    first = np.maximum.accumulate(np.where(np.hstack([edge, differs]), place, 0), axis=1)
+    last = np.minimum.accumulate(np.where(np.hstack([differs, edge]), place, rows)[:, ::-1], axis=1)[:, ::-1]
+    below = np.take_along_axis(upto, first, axis=1) - np.take_along_axis(own, first, axis=1)
+    tied = np.take_along_axis(upto, last, axis=1) - below
+    rest = total - own
+    with np.errstate(invalid="ignore", divide="ignore"):
+        scaled = np.where(rest == 0, 0.5, (below + (tied - own) / 2.0) / rest)
+    scaled[missing] = np.nan
+    out = np.empty_like(scaled)
+    np.put_along_axis(out, order, scaled, axis=1)
+    return out.T
+
+
+def settle_matrix(values: np.ndarray, bits: int | None) -> np.ndarray:
+    """``numeric.settle`` on a matrix."""
+    if bits is None:
         return values
-    return np.rint(values * 10.0**decimals) / 10.0**decimals
+    with np.errstate(over="ignore", invalid="ignore"):
+        wide = values * float(2**bits + 1)
+        return np.where(np.abs(values) < 1e290, wide - (wide - values), values)
+
+
+def stretch_weights(rows: int, life: float) -> tuple[float, np.ndarray]:
+    """Weight of what came before a stretch, and of its rows; even about 1, so that neither end runs out of range."""
+    middle = rows / 2.0
+    return 2.0 ** (-middle / life), 2.0 ** ((np.arange(1, rows + 1) - middle) / life)[:, None]
 
 
 def decayed_means(
@@ -79,38 +116,71 @@ def decayed_means(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Causal averages down a series of value sets, ``rows x sets x width``.
 
-    Average k runs over set ``source[k]`` and comes out as ``[:, k]``. Its two sums
-    shrink by 2^(-1 / half_life) per row, so their ratio is the weighted mean and
-    nothing overflows. The sums at the end are returned too; given as ``start`` they
-    continue a series.
+    Average k runs over set ``source[k]`` and comes out as ``[:, k]``. Inside a stretch of
+    at most ``STRETCH`` half-lives weights grow as 2^(i / half_life), so two running sums do;
+    from stretch to stretch the sums are carried, scaled down. The sums at the end are
+    returned too, weighted as seen from the last row; given as ``start`` they continue a series.
     """
     rows, _, width = values.shape
-    present = ~np.isnan(values)
-    zeroed, weight = np.where(present, values, 0.0), present.astype(float)
-    rate = 2.0 ** (-1.0 / np.asarray(half_lives, dtype=float))
-    keep = np.repeat(rate[:, None], width, axis=1)
-    picked = np.asarray(source)
-    sums = np.zeros((2, len(rate), width)) if start is None else start.copy()
-    total, norm = sums
-    means = np.empty((rows, len(rate), width))
-    with np.errstate(invalid="ignore"):
-        for i in range(rows):
-            total *= keep
-            total += zeroed[i].take(picked, axis=0)
-            norm *= keep
-            norm += weight[i].take(picked, axis=0)
-            np.divide(total, norm, out=means[i])
+    lives = np.asarray(half_lives, dtype=float)
+    sums = np.zeros((2, len(lives), width)) if start is None else start.copy()
+    means = np.empty((rows, len(lives), width))
+    for k, (life, which) in enumerate(zip(lives, source, strict=True)):
+        step = max(1, int(STRETCH * life))
+        for at in range(0, rows, step):
+            part = values[at : at + step, which]
+            present = ~np.isnan(part)
+            shift, weight = stretch_weights(len(part), life)
+            total = np.cumsum(np.where(present, part, 0.0) * weight, axis=0) + sums[0, k] * shift
+            norm = np.cumsum(present * weight, axis=0) + sums[1, k] * shift
+            with np.errstate(invalid="ignore"):
+                means[at : at + step, k] = total / norm
+            sums[:, k] = total[-1] / weight[-1], norm[-1] / weight[-1]
     return means, sums
 
 
-def ewma_matrix(
-    values: np.ndarray, half_life: float, min_count: int = 1, decimals: int | None = None
+def gated_means(
+    values: np.ndarray, half_lives: Sequence[float], min_counts: Sequence[int], adjust: bool = True
 ) -> np.ndarray:
+    """Averages of every column of one series, ``rows x specs x width``; NaN where there are too few values.
+
+    Without ``adjust`` all observations but the first weigh ``1 - 2^(-1 / half_life)``: the sums are
+    those of the adjusted form, scaled, plus what the first observation then lacks.
+    """
+    rows, width = values.shape
+    present = ~np.isnan(values)
+    seen = np.cumsum(present, axis=0)
+    means = decayed_means(values[:, None], half_lives, [0] * len(half_lives))[0]
+    if not adjust and rows:
+        first = present.argmax(axis=0)
+        head = np.where(np.arange(rows)[:, None] == first, values, np.nan)
+        for k, life in enumerate(half_lives):
+            later = 1.0 - 2.0 ** (-1.0 / life)
+            both = np.stack([np.where(present, values, 0.0), present.astype(float)])
+            lone = np.stack([np.where(np.isnan(head), 0.0, head), ~np.isnan(head)])
+            sums = decayed_sums(later * both + (1.0 - later) * lone, life)
+            with np.errstate(invalid="ignore", divide="ignore"):
+                means[:, k] = sums[0] / sums[1]
+    for k, least in enumerate(min_counts):
+        means[:, k][seen < max(1, least)] = np.nan
+    return means
+
+
+def decayed_sums(terms: np.ndarray, life: float) -> np.ndarray:
+    """Running sums down axis 1, halving every ``life`` rows."""
+    out, carry = np.empty_like(terms), np.zeros_like(terms[:, 0])
+    step = max(1, int(STRETCH * life))
+    for at in range(0, terms.shape[1], step):
+        part = terms[:, at : at + step]
+        shift, weight = stretch_weights(part.shape[1], life)
+        out[:, at : at + step] = (np.cumsum(part * weight, axis=1) + (carry * shift)[:, None]) / weight
+        carry = out[:, at + part.shape[1] - 1]
+    return out
+
+
+def ewma_matrix(values: np.ndarray, half_life: float, min_count: int = 1, bits: int | None = None) -> np.ndarray:
     """Causal average down each column; rows are the series in order."""
-    means = decayed_means(values[:, None], [half_life], [0])[0][:, 0]
-    if min_count > 1:
-        means[np.cumsum(~np.isnan(values), axis=0) < min_count] = np.nan
-    return snap_matrix(means, decimals)
+    return settle_matrix(gated_means(values, [half_life], [min_count])[:, 0], bits)
 
 
 def impute_matrix(values: np.ndarray, half_life: float) -> np.ndarray:
@@ -118,21 +188,64 @@ def impute_matrix(values: np.ndarray, half_life: float) -> np.ndarray:
 
 
 def rank_columns(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str], names: Mapping[str, str]
+    df: DataFrame, columns: Sequence[str], by: Sequence[str], names: Mapping[str, str], weight: str | None = None
 ) -> DataFrame:
     """``xsec_rank`` for wide frames whose groups fit a task."""
     ids = [c for c in df.columns if c not in set(columns)]
     packed = df.select(*ids, pack(columns).alias("_x"))
-    ranked = rank_packed(packed, by, "_x")
+    ranked = rank_packed(packed, by, "_x", weight)
     return ranked.select(*ids, *unpack("_x", [names[c] for c in columns]))
 
 
-def rank_packed(packed: DataFrame, by: Sequence[str], array: str) -> DataFrame:
+def rank_packed(packed: DataFrame, by: Sequence[str], array: str, weight: str | None = None) -> DataFrame:
     names = packed.columns
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in packed.schema)
 
     def rank_group(group: pa.Table) -> pa.Table:
-        ranks = to_lists(rank_matrix(to_matrix(group.column(array))))
-        return group.set_column(names.index(array), array, ranks)
+        values = to_matrix(group.column(array))
+        if weight is None:
+            ranks = rank_matrix(values)
+        else:
+            own = group.column(weight).cast(pa.float64()).combine_chunks()
+            ranks = weighted_rank_matrix(values, own.to_numpy(zero_copy_only=False))
+        return group.set_column(names.index(array), array, to_lists(ranks))
 
     return packed.groupBy(*by).applyInArrow(rank_group, fields)
+
+
+def average_columns(
+    df: DataFrame,
+    columns: Sequence[str],
+    half_lives: Sequence[float],
+    min_counts: Sequence[int],
+    names: Sequence[Sequence[str]],
+    series: Sequence[str],
+    order: Sequence[str],
+    adjust: bool = True,
+    bits: int | None = None,
+    fill: bool = False,
+    keep: bool = True,
+) -> DataFrame:
+    """Averages of wide series that fit a task; ``names`` has one list of new columns per half-life.
+
+    ``fill`` puts the first average in place of missing values only, and observed values stay as they are.
+    ``keep`` keeps ``columns`` too.
+    """
+    ids = [c for c in df.columns if c not in set(columns)]
+    packed = df.select(*ids, pack(columns).alias("_x"))
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in packed.schema)
+    lives, least, place, width = list(half_lives), list(min_counts), len(ids), len(columns)
+
+    def average(group: pa.Table) -> pa.Table:
+        group = group.sort_by([(c, "ascending") for c in order])
+        values = to_matrix(group.column("_x"))
+        means = settle_matrix(gated_means(values, lives, least, adjust), bits)
+        if fill:
+            means[:, 0] = np.where(np.isnan(values), means[:, 0], values)
+        blocks = [values] if keep else []
+        blocks += [means[:, k] for k in range(len(lives))]
+        return group.set_column(place, "_x", to_lists(np.hstack(blocks)))
+
+    out = packed.groupBy(*series).applyInArrow(average, fields)
+    made = [*(columns if keep else []), *(n for block in names for n in block)]
+    return out.select(*ids, *unpack("_x", made))

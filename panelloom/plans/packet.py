@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.functions.numeric import snap
+from panelloom.functions.numeric import keep_or_fill, settle
 from panelloom.operators.days import (
     FRAME_DAY_SERIES,
     FRAME_SERIES,
@@ -26,17 +26,17 @@ from panelloom.operators.vector import (
     decayed_means,
     pack,
     rank_packed,
-    snap_matrix,
+    settle_matrix,
     to_lists,
     to_matrix,
     unpack,
 )
-from panelloom.session import spread
+from panelloom.session import pin, spread
 from panelloom.spec import (
     EWMA_SPECS,
     IMPUTE_HALF_LIFE,
     KEYS,
-    TIE_DECIMALS,
+    TIE_BITS,
     TIMES_PER_DAY,
     EwmaSpec,
     base_columns,
@@ -58,7 +58,7 @@ def imputed_averages(
     targets: DataFrame,
     specs: Sequence[EwmaSpec] = EWMA_SPECS,
     impute_half_life: float = IMPUTE_HALF_LIFE,
-    decimals: int | None = TIE_DECIMALS,
+    bits: int | None = TIE_BITS,
     times_per_day: int = TIMES_PER_DAY,
     day_block: int = 8,
 ) -> DataFrame:
@@ -78,22 +78,34 @@ def imputed_averages(
             frames, features, impute_half_life, FRAME_SERIES, ["dateid", "timeid"], max_rows=two, names=over_two
         )
         frames = causal_ewma(
-            frames, list(over_two.values()), cross_day, FRAME_SERIES, ["dateid", "timeid"], two, decimals=decimals
+            frames, list(over_two.values()), cross_day, FRAME_SERIES, ["dateid", "timeid"], two, bits=bits
         )
         frames = frames.withColumnsRenamed(
             {f"_x_{c}_{s.suffix}": f"{c}_{s.suffix}" for c in features for s in cross_day}
         ).drop(*over_two.values())
-    day = causal_impute(target_rows(frames), features, impute_half_life, FRAME_DAY_SERIES, max_rows=times_per_day)
+    # The averages run over what was filled in as it is; only its rank sees it settled.
+    own = {c: f"_y_{c}" for c in features}
+    day = causal_impute(
+        target_rows(frames), features, impute_half_life, FRAME_DAY_SERIES, max_rows=times_per_day, names=own
+    )
     if same_day:
-        day = causal_ewma(day, features, same_day, FRAME_DAY_SERIES, max_rows=times_per_day, decimals=decimals)
-    return day.withColumns({c: snap(F.col(c), decimals) for c in features}).drop("_block", "target_dateid")
+        day = causal_ewma(day, list(own.values()), same_day, FRAME_DAY_SERIES, max_rows=times_per_day, bits=bits)
+        day = day.withColumnsRenamed({f"_y_{c}_{s.suffix}": f"{c}_{s.suffix}" for c in features for s in same_day})
+    shown = {c: keep_or_fill(F.col(c), settle(F.col(own[c]), bits)) for c in features}
+    return day.withColumns(shown).drop("_block", "target_dateid", *own.values())
 
 
 def average_day(
-    values: np.ndarray, history: tuple | None, specs: Sequence[EwmaSpec], impute_half_life: float
+    values: np.ndarray,
+    history: tuple | None,
+    specs: Sequence[EwmaSpec],
+    impute_half_life: float,
+    bits: int | None = TIE_BITS,
 ) -> tuple[np.ndarray, tuple]:
     """One stock and day: imputed values, then one block of columns per average.
 
+    What is filled in or averaged is settled on the way out; observed values are not.
+
     Every average is run down the day once. The cross-day ones start from the sums
     the day before ended with, which is all the two-day frame adds; ``history`` holds
     them, and what is returned with the result is the same for the next day.
@@ -111,14 +123,15 @@ def average_day(
         fill_start[:, 1], start[:, across], seen[1] = history
 
     fill, fill_end = decayed_means(values[:, None], [impute_half_life] * 2, [0, 0], fill_start)
+    observed = ~np.isnan(values)
     filled = np.where(np.isnan(values)[:, None], fill, values[:, None])
     means, end = decayed_means(filled, lives, source, start)
     counts = np.cumsum(~np.isnan(filled), axis=0) + seen
-    out = [filled[:, 0]]
+    out = [np.where(observed, values, settle_matrix(fill[:, 0], bits))]
     for k, spec in enumerate(specs):
         mean = means[:, same.index(k) if k in same else len(same) + cross.index(k)]
         enough = counts[:, 1 if spec.cross_day else 0] >= spec.min_count
-        out.append(mean if spec.min_count <= 1 else np.where(enough, mean, np.nan))
+        out.append(settle_matrix(mean if spec.min_count <= 1 else np.where(enough, mean, np.nan), bits))
     return np.hstack(out), (fill_end[:, 0], end[:, len(specs) :], counts[-1, 0])
 
 
@@ -128,7 +141,7 @@ def packed_averages(
     targets: DataFrame,
     specs: Sequence[EwmaSpec] = EWMA_SPECS,
     impute_half_life: float = IMPUTE_HALF_LIFE,
-    decimals: int | None = TIE_DECIMALS,
+    bits: int | None = TIE_BITS,
     day_block: int = 8,
 ) -> DataFrame:
     """The same for wide panels: ``_x`` holds the imputed values, then one block per spec.
@@ -154,14 +167,14 @@ def packed_averages(
         for day in np.unique(days):
             here = slice(*np.searchsorted(days, [day, day + 1]))
             history = history if before == day - 1 else None
-            averages, history = average_day(values[here], history, specs, impute_half_life)
+            averages, history = average_day(values[here], history, specs, impute_half_life, bits)
             before = day
             if wanted[here.start]:
                 parts.append(averages)
                 kept.append(block.select(base).slice(here.start, here.stop - here.start))
         if not parts:
             return block.select(base).slice(0, 0).append_column("_x", to_lists(np.empty((0, 1))))
-        return pa.concat_tables(kept).append_column("_x", to_lists(snap_matrix(np.vstack(parts), decimals)))
+        return pa.concat_tables(kept).append_column("_x", to_lists(np.vstack(parts)))
 
     return spread(rows, "stockid", "_block").groupBy("stockid", "_block").applyInArrow(average_block, fields)
 
@@ -172,7 +185,7 @@ def build_packets(
     targets: DataFrame,
     specs: Sequence[EwmaSpec] = EWMA_SPECS,
     impute_half_life: float = IMPUTE_HALF_LIFE,
-    decimals: int | None = TIE_DECIMALS,
+    bits: int | None = TIE_BITS,
     times_per_day: int = TIMES_PER_DAY,
     largest: int | None = None,
     engine: str = "auto",
@@ -182,14 +195,19 @@ def build_packets(
 
     ``raw`` must also hold the day before each target; ``plan_days`` says which
     targets have one. Days that are neither a target nor the day before one are
-    dropped ahead of the shuffle. ``targets`` has one row per day, so it is broadcast.
+    dropped ahead of the shuffle. ``targets`` is one row per day, so it is broadcast; a day
+    that it lists twice counts once.
 
     The rank exchange is keyed by day and a run of time points rather than by single
     time points, so that a task's output belongs to few days and can be written
     without another shuffle.
     """
     labels = [c for c in base_columns(raw.columns) if c not in KEYS]
+    targets = pin(targets.select("dateid").distinct())
     needed = targets.unionByName(targets.select((F.col("dateid") - 1).alias("dateid"))).distinct()
+    # The span of days is a filter that files and partitions can be pruned by; the join leaves out the rest.
+    span = targets.agg(F.min("dateid"), F.max("dateid")).first()
+    raw = raw.where(F.col("dateid").between((span[0] or 0) - 1, -1 if span[1] is None else span[1]))
     raw = raw.join(F.broadcast(needed), "dateid", "left_semi").select(*base_columns(raw.columns), *features)
     blocks = [None, *(s.suffix for s in specs)]
     ranks = len(features) * len(blocks)
@@ -203,7 +221,7 @@ def build_packets(
 
     sources = {(f"{f}_{b}" if b else f): rank_name(f, b) for b in blocks for f in features}
     if packed:
-        averaged = packed_averages(raw, features, targets, specs, impute_half_life, decimals, day_block)
+        averaged = packed_averages(raw, features, targets, specs, impute_half_life, bits, day_block)
         placed = spread(averaged.withColumn("_slot", slot), "dateid", "_slot")
         if engine == "vector":
             ranked = rank_packed(placed, group, "_x")
@@ -211,7 +229,7 @@ def build_packets(
         placed = placed.select(*KEYS, *labels, "_slot", *unpack("_x", list(sources)))
     else:
         averaged = imputed_averages(
-            raw, features, targets, specs, impute_half_life, decimals, times_per_day, day_block
+            raw, features, targets, specs, impute_half_life, bits, times_per_day, day_block
         )
         placed = spread(averaged.withColumn("_slot", slot), "dateid", "_slot")
     ranked = xsec_rank(placed, list(sources), group, sources, largest=largest, engine=engine, placed=True)
@@ -219,6 +237,7 @@ def build_packets(
 
 
 def plan_days(raw: DataFrame, start: int, end: int) -> tuple[DataFrame, DataFrame]:
-    """The requested days, and those of them that can be built."""
+    """The requested days, and those of them that can be built; each list is read off ``raw`` once."""
     requested = day_range(raw.sparkSession, start, end)
-    return requested, buildable_days(present_days(raw), requested)
+    near = raw.where(F.col("dateid").between(start - 1, end - 1))
+    return requested, buildable_days(pin(present_days(near)), requested)

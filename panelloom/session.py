@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +27,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; nothing is created yet, and it goes when the driver ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
 
 
 def pin(df: DataFrame) -> DataFrame:
@@ -40,10 +44,32 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+# Bytes of input that one task of a main shuffle should get.
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def partition_count(df: DataFrame) -> int:
+    """Partitions for a main shuffle of ``df``: its bytes by the optimizer's estimate, and at least
+    ``spark.sql.shuffle.partitions``. Where there is no estimate the setting stands alone."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return least if size >= 1 << 60 else max(least, -(-size // TASK_BYTES))
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Shuffle by ``keys`` into exactly ``spark.sql.shuffle.partitions`` partitions.
+    """Shuffle by ``keys`` into as many partitions as the input's size asks for.
 
     Adaptive execution merges partitions by their compressed size. Sparse panels
-    compress so well that the work on them would end up in a handful of tasks.
+    compress so well that the work on them would end up in a handful of tasks, so the
+    count is fixed here, but from the data.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    return df.repartition(partition_count(df), *keys)
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on equal keys where a missing key equals a missing key; the right keys are dropped."""
+    theirs = {k: f"_right_{k}" for k in keys}
+    right = right.withColumnsRenamed(theirs)
+    condition = [left[k].eqNullSafe(right[theirs[k]]) for k in keys]
+    joined = left.join(right, condition, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*theirs.values())

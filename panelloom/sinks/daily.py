@@ -59,21 +59,29 @@ def shard_receipt(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     )
 
 
-def build_status(requested: DataFrame, blocked: DataFrame, counts: DataFrame) -> DataFrame:
-    """One status row per requested day: ``ok``, ``error`` (no previous day) or ``empty``.
+def build_status(
+    requested: DataFrame, counts: DataFrame, built: DataFrame, failed: DataFrame, raw_days: DataFrame
+) -> DataFrame:
+    """One status row per requested day, from ``dateid, rows`` of the days that the folder now holds.
 
-    ``counts`` has ``dateid, rows`` of the days written.
+    ``ok``: built in this run. ``kept``: an earlier output that was left. ``stale``: an earlier output
+    whose raw rows are gone. ``error``: not built, for the reason in ``failed`` (``dateid, error``).
+    ``empty``: no raw rows and no output.
     """
-    failed = blocked.select("dateid", F.lit(True).alias("blocked"))
+    flag = lambda df, name: df.select("dateid", F.lit(True).alias(name))
+    there = F.coalesce("rows", F.lit(0)) > 0
     status = (
-        F.when(F.col("blocked"), "error").when(F.coalesce("rows", F.lit(0)) > 0, "ok").otherwise("empty")
-    )
-    reason = F.when(
-        F.col("blocked"), F.concat(F.lit("missing previous-day raw data for dateid="), F.col("dateid") - 1)
+        F.when(F.col("error").isNotNull(), "error")
+        .when(there & F.col("built"), "ok")
+        .when(there & F.col("raw"), "kept")
+        .when(there, "stale")
+        .otherwise("empty")
     )
     return (
         requested.join(counts, "dateid", "left")
         .join(failed, "dateid", "left")
-        .select("dateid", status.alias("status"), F.coalesce("rows", F.lit(0)).alias("rows"), reason.alias("error"))
+        .join(flag(built, "built"), "dateid", "left")
+        .join(flag(raw_days, "raw"), "dateid", "left")
+        .select("dateid", status.alias("status"), F.coalesce("rows", F.lit(0)).alias("rows"), "error")
         .orderBy("dateid")
     )

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.functions.numeric import snap
+from panelloom.functions.numeric import missing_to_null, snap
 from panelloom.session import spread
 from panelloom.spec import KEYS
 
@@ -31,7 +31,7 @@ def event_cells(events: DataFrame) -> DataFrame:
         F.col("user_id").cast("int").alias("stockid"),
         F.datediff(F.col("ts").cast("date"), F.lit(EPOCH).cast("date")).alias("dateid"),
         F.hour("ts").alias("timeid"),
-        "value",
+        missing_to_null(F.col("value").cast("double")).alias("value"),
     )
 
 
@@ -41,13 +41,13 @@ def events_panel(spark: SparkSession, folder: str) -> EventsPanel:
     Statistics are partial before the shuffle, so a user with very many events is no
     hot spot. The cells of a user and day, 24 at most, become one map that is laid
     over the empty user x day grid; hours are spread out only after that join, so
-    the dense rows are never shuffled and already lie by user. Just the day span and
-    the number of users reach the driver.
+    the dense rows are never shuffled and already lie by user. The grid has the days of
+    the log, before or after the epoch; a stray date adds that day alone. Just those days
+    and the number of users reach the driver. Events without a user or time are not laid out.
     """
-    cells = event_cells(spark.read.parquet(f"{folder}/events.parquet"))
-    users = cells.groupBy("stockid").agg(F.max("dateid").alias("day"))
-    span = users.agg(F.max("day").alias("day"), F.count(F.lit(1)).alias("users")).first()
-    days = span["day"] + 1
+    cells = event_cells(spark.read.parquet(f"{folder}/events.parquet")).where("stockid IS NOT NULL AND dateid IS NOT NULL")
+    users = cells.select("stockid").distinct()
+    known = sorted(r["dateid"] for r in cells.select("dateid").distinct().collect())  # one row per day
     stats = F.struct(
         F.avg("value").alias("v_avg"),
         F.min("value").alias("v_min"),
@@ -60,7 +60,8 @@ def events_panel(spark: SparkSession, folder: str) -> EventsPanel:
         .groupBy("stockid", "dateid")
         .agg(F.map_from_entries(F.collect_list(F.struct("timeid", "stats"))).alias("hours"))
     )
-    grid = users.select("stockid", F.explode(F.sequence(F.lit(0), F.lit(days - 1))).alias("dateid"))
+    listed = F.array(*(F.lit(d) for d in known)).cast("array<int>")
+    grid = users.select("stockid", F.explode(listed).alias("dateid"))
     panel = (
         spread(grid, "stockid", "dateid")
         .join(hours, ["stockid", "dateid"], "left")
@@ -74,4 +75,5 @@ def events_panel(spark: SparkSession, folder: str) -> EventsPanel:
             snap(F.col("stats.v_sum"), 9).alias("v_sum"),
         )
     )
-    return EventsPanel(panel, days, span["users"])
+    days = known[-1] + 1 if known else 0
+    return EventsPanel(panel, days, users.count())

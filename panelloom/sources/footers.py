@@ -16,12 +16,20 @@ AUDIT = "path string, readable boolean, rows bigint, cols bigint"
 
 
 def footer_counts(path: str) -> tuple[bool, int, int]:
+    """Readable, rows, columns. Only a footer that cannot be parsed makes a file unreadable; a store that
+    cannot be reached raises, and Spark tries the task again."""
+    filesystem, name = pafs.FileSystem.from_uri(path)
+    with filesystem.open_input_file(name) as source:
+        size = source.size()
+        source.seek(max(0, size - 8))
+        length = int.from_bytes(source.read()[:4], "little")
+        source.seek(max(0, size - 8 - length))
+        tail = source.read()
+    # The bytes are here; what fails from now on is their content.
     try:
-        filesystem, name = pafs.FileSystem.from_uri(path)
-        with filesystem.open_input_file(name) as source:
-            footer = pq.read_metadata(source)
+        footer = pq.read_metadata(pa.BufferReader(tail))
         return True, footer.num_rows, len(footer.schema.to_arrow_schema().names)
-    except (OSError, pa.ArrowException):
+    except (pa.ArrowException, OSError):
         return False, 0, 0
 
 
@@ -39,11 +47,13 @@ def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
-def audit_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> DataFrame:
+def audit_files(
+    spark: SparkSession, folder: str, pattern: str = "*.parquet", days: tuple[int, int] | None = None
+) -> DataFrame:
     """One row per file; a file that is not parquet is reported, not raised.
 
-    Only names are listed by Spark; the tasks read footers. ``cols`` counts the
-    ``dateid`` that a day folder stands for.
+    Only names are listed by Spark; the tasks read footers, and with ``days`` (half-open)
+    only those of these days. ``cols`` counts the ``dateid`` that a day folder stands for.
     """
     files = (
         spark.read.format("binaryFile")
@@ -52,6 +62,9 @@ def audit_files(spark: SparkSession, folder: str, pattern: str = "*.parquet") ->
         .load(folder)
         .select("path")
     )
+    if days is not None:
+        day = day_of_path(F.col("path"))
+        files = files.where((day >= days[0]) & (day < days[1]))
     found = files.mapInArrow(_read_footers, AUDIT)
     in_folder = (F.regexp_extract("path", DAY_FOLDER, 1) != "") & F.col("readable")
     return found.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelloom.functions.numeric import clean_features
-from panelloom.spec import KEYS, LABELS, TIMES_PER_DAY
+from panelloom.spec import KEYS, LABELS
 
 DAY_FILE = r"d([0-9]+)\.parquet$"
 DAY_FOLDER = r"dateid=([0-9]+)/"
@@ -37,15 +37,14 @@ def read_panel(
     features: Sequence[str],
     days: tuple[int, int] | None = None,
     stocks: tuple[int, int] | None = None,
-    times: tuple[int, int] | None = (0, TIMES_PER_DAY - 1),
+    times: tuple[int, int] | None = None,
     schema: T.StructType | None = None,
 ) -> DataFrame:
     """Keys, labels where present, and the asked-for features; missing is NULL.
 
     ``days`` is half-open, ``stocks`` and ``times`` are inclusive; the ranges are
-    put on the stored columns, so parquet and partition filters see them. The time
-    range also bounds the rows of one stock and day, which the series operators
-    rely on.
+    put on the stored columns, so parquet and partition filters see them. Nothing is
+    left out by default.
     """
     reader = spark.read if schema is None else spark.read.schema(schema)
     stored = reader.parquet(path)

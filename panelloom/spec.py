@@ -17,9 +17,10 @@ TS_RANK_ROWS = 478
 SERIES = ["dateid", "stockid"]
 CROSS_SECTION = ["dateid", "timeid"]
 
-# Averages are snapped to this many decimals before ranking: equal histories give
-# sums that differ in the last bit, and a rank would turn that into a broken tie.
-TIE_DECIMALS = 9
+# Averages lose this many low bits of 53 before ranking: equal histories give sums that
+# differ in the last bit, and a rank would turn that into a broken tie. What is left, 33
+# bits, is about ten significant digits at every magnitude. Observed values keep all bits.
+TIE_BITS = 20
 
 
 @dataclass(frozen=True)

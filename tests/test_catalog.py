@@ -6,6 +6,9 @@ import os
 import pandas as pd
 import pytest
 
+from panelloom.catalog import QUERIES
+from panelloom.oracle import build_sql
+
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ["events", "orders"]
 SAMPLE = ["s3_full_scan", "j4_blocked_days", "w1_xsec_rank_vector", "w5_impute_cross_day", "w10_ts_rank", "p1_packet"]
@@ -19,7 +22,8 @@ def entry_module():
 
 
 def test_every_query_has_sql(entry_module):
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(build_sql())
+    assert set(QUERIES) <= set(entry_module.queries()) and set(build_sql()) <= set(entry_module.oracle_sql())
 
 
 def test_entry(spark, entry_module):

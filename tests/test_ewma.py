@@ -64,7 +64,7 @@ def test_series_length_guard():
 
 @pytest.mark.parametrize("chunk,half_lives", [(7, 2), (50, 11), (1000, 400)])
 def test_long_series_equal_short_ones(panel, panel_pdf, chunk, half_lives):
-    out = by_keys(long_ewma(panel, FEATURES, EwmaSpec(5, "e"), ["stockid"], ["dateid", "timeid"], chunk, half_lives))
+    out = by_keys(long_ewma(panel, FEATURES, [EwmaSpec(5, "e")], ["stockid"], ["dateid", "timeid"], chunk, half_lives))
     plain = by_keys(causal_ewma(panel, FEATURES, [EwmaSpec(5, "e")], ["stockid"], ["dateid", "timeid"], max_rows=717))
     tolerance = 8 * 2.0**-half_lives + 1e-12
     for f in FEATURES:

@@ -136,7 +136,7 @@ def test_backfill(spark, tmp_path):
     status, report, verdict = build_range(spark, raw, FEATURES, out, 0, 5, times_per_day=8)
     got = status.toPandas()
     assert got["status"].tolist() == ["ok", "ok", "empty", "error", "ok"]
-    assert "dateid=2" in got["error"].iloc[3]
+    assert got["error"].iloc[3] == "no raw data of the previous day"
     assert report.toPandas()["missing"].tolist() == [False, False, True, True, False]
     assert not report.toPandas()["schema_mismatch"].any()
     assert not verdict.first().passed

@@ -11,8 +11,10 @@ from panelloom.plans.packet import build_packets, imputed_averages, plan_days
 from panelloom.spec import EWMA_SPECS, KEYS, EwmaSpec, legacy_columns, packet_columns, rank_name
 
 
-def snap(x):
-    return np.rint(x * 1e9) / 1e9
+def settle(x):
+    """33 significant bits; observed values are ranked as they are."""
+    wide = x * (2.0**20 + 1)
+    return wide - (wide - x)
 
 
 def packet_pdf(raw, day):
@@ -28,14 +30,14 @@ def packet_pdf(raw, day):
         return filled
 
     same, across = impute(now, ["timeid"]), impute(two, ["dateid", "timeid"])
-    ranks = rank_pdf(same.assign(**{f: snap(same[f]) for f in FEATURES}), FEATURES)
+    ranks = rank_pdf(same.assign(**{f: now[f].fillna(settle(same[f])) for f in FEATURES}), FEATURES)
     for f in FEATURES:
         out[rank_name(f)] = ranks[f]
     for spec in EWMA_SPECS:
         source, order = (across, ["dateid", "timeid"]) if spec.cross_day else (same, ["timeid"])
         mean = source[["stockid", "dateid", "timeid"]].copy()
         for f in FEATURES:
-            mean[f] = snap(ewma_pdf(source, f, spec.half_life, ["stockid"], order))
+            mean[f] = settle(ewma_pdf(source, f, spec.half_life, ["stockid"], order))
         mean = mean[mean.dateid == day].reset_index(drop=True)
         ranks = rank_pdf(mean, FEATURES)
         for f in FEATURES:

@@ -11,7 +11,7 @@ from panelloom.operators import rank as rank_module
 from panelloom.operators.rank import choose_engine, largest_group, xsec_rank
 from panelloom.operators.vector import rank_matrix
 
-ENGINES = ["windows", "long", "vector", "split"]
+ENGINES = ["windows", "slices", "vector", "split"]
 NAN = float("nan")
 
 
@@ -62,7 +62,7 @@ def test_split_with_heavy_values(spark, monkeypatch):
         assert_close(out[f"{f}_r"], expected[f])
 
 
-@pytest.mark.parametrize("engine", ["windows", "long", "split"])
+@pytest.mark.parametrize("engine", ["windows", "slices", "split"])
 def test_weighted(spark, panel, panel_pdf, engine):
     one = panel.select("stockid", "dateid", "timeid", *FEATURES).withColumn("w", F.lit(1.0))
     plain = by_keys(xsec_rank(one, FEATURES, weight="w", engine=engine))
@@ -85,7 +85,7 @@ def test_row_order_does_not_matter(panel):
 def test_engine_choice():
     assert choose_engine(4, 500) == "windows"
     assert choose_engine(1920, 500) == "vector"
-    assert choose_engine(1920, 100_000) == "long"
+    assert choose_engine(1920, 100_000) == "slices"
     assert choose_engine(4, 5_000_000) == "split"
 
 
