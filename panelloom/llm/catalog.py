@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import cache
 
@@ -84,7 +85,78 @@ QUERIES: dict[str, Query] = {
     "op10_top_k": op10_top_k,
 }
 
+BLACK = r"[^\x20\x09-\x0D]"
+
+
+def rules_sql() -> str:
+    """The quality rules with their fitted cutoffs."""
+    tests = ", ".join(f"('{rule}', {step}, {cut!r}e0)" for rule, cuts in rules.CUTOFFS.items() for step, cut in enumerate(cuts))
+    value = {
+        "signs_per_word": "n_symbols / greatest(n_words, 1)",
+        "repeated_lines": "n_dup_lines / greatest(n_lines, 1)",
+        "repeated_words": "n_repeat_words / greatest(n_words, 1)",
+        "long_words": "word_chars / greatest(n_words, 1)",
+        "short_words": "-word_chars / greatest(n_words, 1)",
+    }
+    measured = " UNION ALL ".join(f"SELECT id, stratum, base_failed, '{r}' AS rule, {v} AS value FROM judged" for r, v in value.items())
+    log_p, log_q = math.log(rules.ALPHA), math.log1p(-rules.ALPHA)
+    return f"""
+        WITH texts AS (
+            SELECT row_number() OVER () AS id, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents
+        ),
+        split AS (
+            SELECT *, regexp_extract_all(text, '{BLACK}+') AS words,
+                   list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{BLACK}')) AS lines
+            FROM texts
+        ),
+        windows AS (
+            SELECT id, i, count(*) OVER (PARTITION BY id, words_) AS times FROM (
+                SELECT id, unnest(range(1, len(words) - 6)) AS i,
+                       unnest(list_transform(range(1, len(words) - 6), lambda i: array_to_string(words[i:i + 7], ' '))) AS words_
+                FROM split
+            )
+        ),
+        repeated AS (
+            SELECT id, sum(span) AS n FROM (
+                SELECT id, least(8, coalesce(lead(i) OVER (PARTITION BY id ORDER BY i) - i, 8)) AS span FROM windows WHERE times > 1
+            ) GROUP BY id
+        ),
+        counted AS (
+            SELECT s.id, s.doc_id, s.stratum, CAST(len(words) AS BIGINT) AS n_words,
+                   CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                   CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                   CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, len(lines) AS n_lines
+            FROM split s LEFT JOIN repeated r ON r.id = s.id
+        ),
+        judged AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM counted),
+        measured AS ({measured}),
+        good AS (SELECT doc_id FROM labels WHERE quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
+        tests(rule, step, cut) AS (VALUES {tests}),
+        tried AS (
+            SELECT m.stratum, t.rule, t.step, t.cut, count(*) AS n, count(*) FILTER (WHERE m.value > t.cut) AS k
+            FROM measured m JOIN judged j ON j.id = m.id JOIN good g ON g.doc_id = j.doc_id JOIN tests t ON t.rule = m.rule
+            WHERE NOT m.base_failed GROUP BY m.stratum, t.rule, t.step, t.cut
+        ),
+        passed AS (
+            SELECT *, list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                       + i * {log_p!r} + (n - i) * {log_q!r})))
+                   <= {rules.DELTA} / ((SELECT count(DISTINCT stratum) FROM tried) * {len(rules.CUTOFFS)}) AS ok
+            FROM tried
+        ),
+        safe AS (SELECT *, bool_and(ok) OVER (PARTITION BY stratum, rule ORDER BY step) AS still FROM passed),
+        cutoffs AS (SELECT stratum, rule, arg_max(cut, step) AS cut FROM safe WHERE still GROUP BY stratum, rule),
+        beyond AS (
+            SELECT DISTINCT m.id FROM measured m JOIN cutoffs c ON c.stratum = m.stratum AND c.rule = m.rule WHERE m.value > c.cut
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND id NOT IN (SELECT id FROM beyond) AS kept
+        FROM judged
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op7_quality_rules": rules_sql(),
     "op10_top_k": """
         WITH v AS (
             SELECT vec_id, i, CAST(floor(64 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
