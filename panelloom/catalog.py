@@ -116,6 +116,14 @@ def shard_receipt(spark, folder):
     return receipt.select("dateid", "rows", (F.col("writes") >= 1).alias("has_files"), folder.alias("folder"))
 
 
+def chunks_per_day(spark, folder):
+    """Files per day: as the receipt counts them by their rows, and as the folder lists them."""
+    panel, path, receipt = _shards(spark, folder)
+    listed = audit_files(spark, path).groupBy("dateid").agg(F.count(F.lit(1)).alias("files"))
+    both = receipt.join(listed, "dateid", "full")
+    return both.select("dateid", (F.col("writes") - F.col("files")).alias("uncounted"))
+
+
 def _break_day(spark, path: str, day: int) -> None:
     """Put a file that is no parquet beside those of a day."""
     context = spark.sparkContext
@@ -620,6 +628,7 @@ QUERIES: dict[str, Query] = {
     "k2_rewrite_one_day": rewrite_one_day,
     "k3_legacy_write": legacy_read_back,
     "k4_shard_receipt": shard_receipt,
+    "a2_chunks_per_day": chunks_per_day,
     "k5_build_status": build_report,
     "f1_half_open_days": half_open_days,
     "f2_inclusive_ranges": inclusive_ranges,

@@ -369,6 +369,7 @@ FROM asked a LEFT JOIN counted c ON a.dateid = c.dateid""",
         "w2_long_series": long_series(),
         "w2_wide_averages": wide_averages(),
         "w4_wide_impute": wide_impute(),
+        "a2_chunks_per_day": with_panel("SELECT dateid, CAST(0 AS BIGINT) AS uncounted FROM day_list"),
         "m5_close_to_whole": with_panel(
             "SELECT dateid, "
             + each(

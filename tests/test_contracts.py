@@ -20,7 +20,7 @@ from panelloom.plans.packet import build_packets, plan_days
 from panelloom.plans.shards import build_raw_shards
 from panelloom.plans.verify import verify_range
 from panelloom.session import TASK_BYTES, partition_count
-from panelloom.sinks.daily import read_days, stored_schema
+from panelloom.sinks.daily import read_days, shard_receipt, stored_schema, write_days
 from panelloom.sources.footers import footer_counts
 from panelloom.sources.panel import read_panel
 from panelloom.spec import EwmaSpec
@@ -220,3 +220,19 @@ def test_weighted_matrix_is_the_plain_rank_for_equal_weights():
     values[rng.random((50, 4)) < 0.2] = np.nan
     pdf = pd.DataFrame(values, columns=FEATURES).assign(dateid=0, timeid=0)
     assert_close(vector.weighted_rank_matrix(values, np.full(50, 3.0)), rank_pdf(pdf, FEATURES).to_numpy())
+
+
+def test_files_of_a_day_are_in_order(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    raw = spark.createDataFrame(make_panel(stocks=6, days=(0, 1, 2), times=7))
+    write_days(raw, str(tmp_path / "d"))
+    files = [os.path.join(d, f) for d, _, names in os.walk(tmp_path / "d") for f in names if f.endswith(".parquet")]
+    assert len(files) >= 3
+    for name in files:
+        rows = pq.ParquetFile(name).read(["timeid", "stockid"]).to_pylist()
+        keys = [(r["timeid"], r["stockid"]) for r in rows]
+        assert keys == sorted(keys)
+    receipt = shard_receipt(spark, str(tmp_path / "d"), stored_schema(raw)).collect()
+    assert [r["dateid"] for r in receipt] == [0, 1, 2]
+    assert sum(r["writes"] for r in receipt) == len(files)
