@@ -43,6 +43,7 @@ BITS = 64
 HOMES = 50_000
 PAIRS_AT_ONCE = 4 << 20
 TWO_BLOCKS_FROM = 1 << 28
+FREQUENT = 1000
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -280,7 +281,7 @@ def near_duplicates(
 ) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable) of every row."""
     prints = pin(fingerprints(docs, shingle, id_col, text_col))
-    nodes = pin(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    nodes = pin(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
     if blocks is None:
         blocks = 3 if nodes.count() < TWO_BLOCKS_FROM else 2
     found = stars(links(nodes, threshold, blocks, homes))
@@ -289,10 +290,15 @@ def near_duplicates(
     linked = members.join(nodes, "fp")
     lowest = linked.groupBy("root").agg(F.min("first").alias("lowest"))
     known = linked.join(lowest, "root").select("fp", "lowest")
-    classes = nodes.join(known, "fp", "left").select("fp", F.coalesce("lowest", "first").alias("component_id"))
-    return prints.join(classes, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    classes = nodes.join(known, "fp", "left").select("fp", "n", F.coalesce("lowest", "first").alias("component_id"))
+    # Fingerprints of many documents number at most FREQUENT, whatever the size of the table; only they are
+    # broadcast, so no task gets all copies of a text.
+    often = F.col("n") > prints.count() // FREQUENT
+    hot = F.broadcast(classes.where(often).drop("n"))
+    placed = prints.join(hot, "fp").unionByName(
+        prints.join(hot.select("fp"), "fp", "left_anti").join(classes.where(~often).drop("n"), "fp")
     )
+    return placed.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, threshold: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
