@@ -122,7 +122,7 @@ def fit(x: np.ndarray, bags: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, ra
     shapes = {"W": (WIDTH, HIDDEN), "V": (HIDDEN, GATE), "U": (HIDDEN, GATE), "w": (GATE,), "c": (HIDDEN,)}
     weights = {n: rng.normal(0, 1 / np.sqrt(s[0]), s).astype(np.float32) for n, s in shapes.items()}
     weights |= {"b": np.zeros(HIDDEN, dtype=np.float32), "d": np.float32(0)}
-    if not 0 < share < 1:
+    if not len(y) or not 0 < share < 1:
         odds = np.clip(share, 1e-6, 1 - 1e-6)
         weights |= {"c": np.zeros(HIDDEN, dtype=np.float32), "d": np.float32(np.log(odds / (1 - odds)))}
         return Model(weights, np.zeros(WIDTH, dtype=np.float32), np.ones(WIDTH, dtype=np.float32))
@@ -148,7 +148,7 @@ def training_labels(labels: DataFrame, name: str, rows: int) -> DataFrame:
     """``doc_id``, ``y`` of a bounded sample of the labelled documents that are not held out."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(name).isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(name).cast("int").alias("y"))
-    return hash_sample(known, "doc_id", rows, known.count())
+    return hash_sample(known, "doc_id", rows, known.count()).limit(2 * rows)
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:

@@ -25,6 +25,7 @@ import hashlib
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.llm.common import chunks, column, hash_sample, per_chunk, texts
+from panelloom.session import pin
 
 # The base patterns. Letters of the keyword in either case, ASCII only.
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -203,7 +205,10 @@ def fit(credentials: list[list[str]], plain: list[str]) -> Grammar:
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Grammar:
-    """Credentials and plain tokens of a sample of documents, at most ``SAMPLE_TOKENS`` of each class."""
+    """Credentials and plain tokens of a sample of documents, at most ``SAMPLE_TOKENS`` of each class.
+
+    The sample stays where it is; only the chosen tokens come to the driver.
+    """
 
     def run(batches):
         for batch in batches:
@@ -222,12 +227,11 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Gr
                 )
 
     sample = hash_sample(texts(docs, id_col, text_col), "doc_id", SAMPLE_DOCUMENTS, docs.count())
-    tokens = sample.mapInArrow(run, "kind int, token string").distinct()
-    classes: list[list[str]] = []
-    for kind in range(4):
-        mine = tokens.where(F.col("kind") == kind).orderBy(F.xxhash64("token"), "token").limit(SAMPLE_TOKENS)
-        classes.append(mine)
-    rows = classes[0].unionAll(classes[1]).unionAll(classes[2]).unionAll(classes[3]).collect()
+    tokens = pin(sample.mapInArrow(run, "kind int, token string").distinct())  # read once for each class
+    chosen = [
+        tokens.where(F.col("kind") == kind).orderBy(F.xxhash64("token"), "token").limit(SAMPLE_TOKENS) for kind in range(4)
+    ]
+    rows = reduce(DataFrame.unionAll, chosen).collect()
     by_kind = [sorted(r["token"] for r in rows if r["kind"] == k) for k in range(4)]
     return fit(by_kind[:3], by_kind[3])
 

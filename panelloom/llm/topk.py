@@ -139,7 +139,7 @@ def top_k(
     width, norm2, total = stats[0] or 1, stats[1] or 0.0, stats[2]
     kind = next(t for t in (np.int16, np.int32, np.int64) if t is np.int64 or (stats[3] or 0) < np.iinfo(t).max)
     exact = norm2 < EXACT
-    picked = [r["v"] for r in hash_sample(rows, "vec_id", SAMPLE, total).select("v").collect()]
+    picked = [r["v"] for r in hash_sample(rows, "vec_id", SAMPLE, total).select("v").limit(2 * SAMPLE).collect()]
     centres = choose_pivots(lift(matrix(pa.array(picked, pa.list_(pa.int64())), width), norm2), pivots)
 
     def keyed(query: bool):

@@ -226,7 +226,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
     """``doc_id``, ``y``, ``text`` of the training documents, as a table in the shared folder."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("y"))
-    known = hash_sample(known, "doc_id", DOCUMENTS, known.count())
+    known = hash_sample(known, "doc_id", DOCUMENTS, known.count()).limit(2 * DOCUMENTS)
     path = scratch_path(docs.sparkSession, "toxic")
     texts(docs, id_col, text_col).join(F.broadcast(known), "doc_id").write.parquet(path)  # at most twice DOCUMENTS ids
     return docs.sparkSession.read.parquet(path)
