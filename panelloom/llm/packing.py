@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from panelloom.llm.common import column
 
 CAPACITY = 2048
-SHARD = 8192
+SHARD = 4096
 LOOK = 64  # bins looked at together
 FORM = "doc_id long, piece int, first_word long, n_words long, shard int, bin int"
 
