@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from panelloom.llm.common import column, per_chunk, sha256_hex, texts
 
 META = "▁"
+ENCODE_BYTES = 8 << 20  # larger chunks repeat more words
 NONE = np.int32(2**31 - 1)
 UNKNOWN_TEXT = " ⁇ "  # fixed value: how the library shows an unknown id
 
@@ -267,7 +268,7 @@ def encode(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col: st
 
         return work
 
-    return texts(docs, id_col, text_col).mapInArrow(per_chunk(make), "doc_id long, ids array<int>")
+    return texts(docs, id_col, text_col).mapInArrow(per_chunk(make, ENCODE_BYTES), "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, pieces: Pieces) -> DataFrame:
@@ -302,5 +303,5 @@ def round_trip(docs: DataFrame, pieces: Pieces, id_col: str = "doc_id", text_col
         return work
 
     return texts(docs, id_col, text_col).mapInArrow(
-        per_chunk(make), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        per_chunk(make, ENCODE_BYTES), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
