@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -11,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text that a Python task works on at once; a longer single text is still taken whole.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,14 +35,48 @@ def held_out(doc_id: Column) -> Column:
 
 
 def hash_sample(df: DataFrame, key: str, rows: int, total: int) -> DataFrame:
-    """About ``rows`` of ``total`` rows, chosen by the hash of a key and never more than twice that.
+    """About ``rows`` of ``total`` rows, chosen by the hash of a key: a filter, at whatever size.
 
-    The bound holds at every size, so what is collected from it does not grow.
+    Where keys repeat there may be more; who collects from it sets a limit of twice ``rows`` too.
     """
     if total <= rows:
         return df
     share = int(rows / total * (1 << 30))
-    return df.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < share).limit(2 * rows)
+    return df.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(key)), F.lit(1 << 30)) < share)
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Rows that go to Python at once, for what is written inside; long rows need small batches."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on after a task, beside the JVM."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], text: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Small batches put together until they hold ``size`` bytes of text."""
+    held, used = [], 0
+    for batch in batches:
+        held.append(batch)
+        used += column(batch, text).nbytes
+        if used >= size:
+            yield pa.concat_batches(held)
+            held, used = [], 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -59,13 +96,13 @@ def chunks(batch: pa.RecordBatch, text: str = "text", size: int = CHUNK_BYTES) -
         yield batch.slice(start)
 
 
-def per_chunk(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]):
+def per_chunk(make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], size: int = CHUNK_BYTES):
     """A ``mapInArrow`` function: ``make`` runs once a task, what it returns once a chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part in chunks(batch):
+            for part in chunks(batch, size=size):
                 yield work(part)
 
     return run

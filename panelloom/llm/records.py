@@ -27,7 +27,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain, compress
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import chunks, column, texts
+from panelloom.llm.common import arrow_rows, chunks, column, gathered, give_back, texts
 from panelloom.session import scratch_path
 
 MASK_DELTA = 0xA282EAD8  # fixed value of the masking rule
@@ -43,8 +43,9 @@ HEAD, META, TAIL = "<QI", "<?qB", "<Ic"
 PLAIN = re.compile("[a-zß-öø-ÿ]+")
 LATIN_1_LEAD = 0xC3  # first byte of the letters of the Latin-1 block; capitals have 20 (hex) less in the second
 SIGN, LETTER, DIGIT, WHITE, APOSTROPHE, OTHER = 0, 1, 2, 3, 4, 5
-ENCODE_BYTES = 32 << 20
-FILE_ROWS = 10_000
+ENCODE_BYTES = 3 << 20
+BATCH_ROWS = 500
+FILE_ROWS = 5_000
 
 
 def masked(data: bytes) -> int:
@@ -76,6 +77,11 @@ def frames(data: bytes | memoryview) -> Iterator[tuple[int, int, int | None, np.
         at = end + struct.calcsize(TAIL)
 
 
+def _flat(lists) -> np.ndarray:
+    parts = [np.array(x, dtype=np.int32) for x in lists]
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
+
+
 class WordEncoder:
     """The library's ids for many texts at once, each distinct word encoded once.
 
@@ -138,17 +144,17 @@ class WordEncoder:
         sizes, runs = np.zeros(len(words), dtype=np.int64), []
         for k, tokenizer in enumerate((self.ascii, self.plain)):
             some = list(compress(words, (kind == k).tolist()))
-            joined = [" ".join(some[i : i + 1024]) for i in range(0, len(some), 1024)]
-            ids = [e.ids for e in tokenizer.encode_batch_fast(joined, add_special_tokens=False)]
-            flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32)
+            joined = [" ".join(some[i : i + 512]) for i in range(0, len(some), 512)]
+            # A few at a time: the library's results are much larger than the ids.
+            flat = _flat(e.ids for i in range(0, len(joined), 8) for e in tokenizer.encode_batch_fast(joined[i : i + 8], add_special_tokens=False))
             ends = np.flatnonzero(self.ends[flat]) + 1
             if len(ends) != len(some):
                 raise ValueError("this needs a vocabulary whose words end in </w>")
             sizes[kind == k] = np.diff(np.r_[0, ends])
             runs.append(flat)
-        rest = [e.ids for e in self.full.encode_batch_fast(list(compress(words, (kind == 2).tolist())), add_special_tokens=False)]
+        rest = [self.full.encode(w, add_special_tokens=False).ids for w in compress(words, (kind == 2).tolist())]
         sizes[kind == 2] = [len(x) for x in rest]
-        runs.append(np.fromiter(chain.from_iterable(rest), dtype=np.int32))
+        runs.append(_flat(rest))
         out, whose = np.zeros(int(sizes.sum()), dtype=np.int32), np.repeat(kind, sizes)
         for k, flat in enumerate(runs):
             out[whose == k] = flat
@@ -175,26 +181,40 @@ class WordEncoder:
 
 
 def write_records(
-    docs: DataFrame, definition: str, end_id: int, path: str, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    definition: str,
+    end_id: int,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    file_rows: int = FILE_ROWS,
 ) -> None:
-    """Write every document's ids and the end id below ``path``, ascending by document id."""
+    """Write every document's ids and the end id below ``path``, ascending by document id.
+
+    A file gets ``file_rows`` documents on average. A task's memory does not depend on that: rows are
+    sorted with spilling and encoded a few megabytes at a time; a reader takes one file at a time.
+    """
     spark = docs.sparkSession
     width = 2 if end_id < 1 << 16 and _largest_id(definition) < 1 << 16 else 4
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(definition)
-        for batch in batches:
+        for batch in gathered(batches, "text", ENCODE_BYTES):
             for part in chunks(batch, size=ENCODE_BYTES):
                 rows = zip(column(part, "doc_id").to_pylist(), encoder.encode(column(part, "text")), strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([frame(i, np.append(ids, end_id), width) for i, ids in rows], pa.binary())], ["frame"]
                 )
+            give_back()
+        del encoder
+        give_back()
 
     narrow = texts(docs, id_col, text_col)
-    parts = max(1, docs.count() // FILE_ROWS)
+    parts = max(1, docs.count() // file_rows)
     ordered = narrow.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
     lines = ordered.mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("value"))
-    lines.write.option("lineSep", "\n").text(path)
+    with arrow_rows(spark, BATCH_ROWS):
+        lines.write.option("lineSep", "\n").text(path)
 
 
 def _largest_id(definition: str) -> int:
