@@ -1,17 +1,23 @@
 """Secrets by pattern and by inferred grammar.
 
 Base patterns find assignments, access keys and long hexadecimal runs. What they find in a
-bounded sample of documents are labelled credentials, one class per pattern; long tokens in which
-they find nothing are labelled as plain text. From each class a prefix tree over character kinds is
-built and its states are merged as long as their futures are statistically compatible
-(Hoeffding's bound on the frequencies of ending and of every next kind, down the tree): the
-result is a probabilistic automaton of the format. Every token of ``CANDIDATE`` characters or more
-that holds a digit is a candidate; its score is the mean log-likelihood per character under the
-best credential automaton less that under the automaton of plain tokens. The cutoff
-lies midway between the score that all but ``MISS`` of the labelled credentials reach and the one that
-all but ``FALSE`` of the plain tokens stay below; candidates at or above it become spans of kind
-``format``. Spans of the patterns always stay; a candidate that
-touches one adds nothing.
+bounded sample of documents are labelled credentials, one class per pattern. From each class a
+prefix tree over character kinds is built and its states are merged as long as their futures are
+statistically compatible (Hoeffding's bound on the frequencies of ending and of every next kind,
+down the tree): the result is a probabilistic automaton of the format. Every token as long as the
+shortest labelled credential, and every one of ``CANDIDATE`` characters, is a candidate; its score is
+the mean log-likelihood per character under the best credential automaton less that under the
+automaton of plain tokens.
+
+Tokens without a pattern may be credentials, so they are not plain by themselves. Words, numbers and
+what signs join of them are; of the other ones those are taken as plain that score below all but ``MISS`` of held-out
+credentials mixed among them ("spies"), in each of ``ROUNDS`` rounds. The cutoff lies midway between the score that all but
+``MISS`` of the held-out credentials reach and the one that all but ``FALSE`` of these plain tokens
+stay below; where the two overlap it is the former, and it is never below zero, where a token is as
+likely plain. How many candidates are above it is not bounded. Candidates at or above it become spans
+of kind ``format``. Spans of the patterns always stay; a candidate that reaches beyond one is scored
+as a whole and may add a span around it, one within a span adds nothing. A format that no pattern
+labels is not learned.
 
 Positions are code points, ends exclusive. A null or empty text has no spans. Repeated rows
 are scanned one by one. Where the sample holds fewer than ``LEAST`` credentials of a class it
@@ -44,8 +50,10 @@ KEYWORDS = ("passw", "secret", "token", "api")
 KINDS = ("assign", "access", "hex", "format")
 
 CANDIDATE = 16
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{16,}")
+TOKEN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{6,}")  # no label is shorter
 DIGIT = re.compile("[0-9]")
+PART = "(?:[A-Z]?[a-z]+|[A-Z]+|[0-9]+)"
+ORDINARY = re.compile(rf"[+/_.=-]*{PART}(?:[+/_.=-]+{PART})*[+/_.=-]*|[+/_.=-]+")
 SAMPLE_DOCUMENTS = 20_000
 SAMPLE_TOKENS = 3000
 MARK = "[SECRET]"
@@ -55,6 +63,7 @@ STOP = SYMBOLS  # the symbol of an end
 LONGEST = 64  # a longer example teaches its first characters
 CONFIDENCE = 0.05
 LEAST = 5
+ROUNDS = 4
 MISS, FALSE = 0.02, 0.002
 FLOOR = 1e-4  # probability of what an automaton has not seen
 
@@ -72,8 +81,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def candidates(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in TOKEN.finditer(text) if DIGIT.search(m[0])]
+def candidates(text: str, shortest: int = CANDIDATE) -> list[tuple[int, int]]:
+    return [m.span() for m in TOKEN.finditer(text) if m.end() - m.start() >= shortest]
 
 
 def kinds_of(token: str) -> np.ndarray:
@@ -186,6 +195,7 @@ class Grammar:
     credentials: list[Automaton]
     plain: Automaton | None
     cutoff: float
+    shortest: int = CANDIDATE
 
     def score(self, tokens: list[str]) -> np.ndarray:
         if not tokens or not self.credentials:
@@ -194,18 +204,44 @@ class Grammar:
         return best - (self.plain.score(tokens) if self.plain else np.log(1 / SYMBOLS))
 
 
-def fit(credentials: list[list[str]], plain: list[str]) -> Grammar:
-    found = [PrefixTree(c).merged() for c in credentials if len(c) >= LEAST]
-    grammar = Grammar(found, PrefixTree(plain).merged() if len(plain) >= LEAST else None, np.inf)
-    own = grammar.score([t for c in credentials if len(c) >= LEAST for t in c])
-    if len(own):
-        reached, passed = np.quantile(own, MISS), np.quantile(grammar.score(plain), 1 - FALSE) if plain else 0.0
-        grammar.cutoff = max(0.0, float(passed) + 1e-9, float(reached + passed) / 2)
+def taught(plain: list[str]) -> Automaton | None:
+    return PrefixTree(plain).merged() if len(plain) >= LEAST else None
+
+
+def known_plain(halves: list[list[Automaton]], held: list[list[str]], tokens: list[str]) -> list[str]:
+    """Words and numbers, and what of the others scores below all but ``MISS`` of the held-out credentials mixed among them.
+
+    Credentials that one round leaves are fewer among the others of the next one and stand out more.
+    """
+    ordinary = [t for t in tokens if ORDINARY.fullmatch(t)]
+    others = sorted(set(tokens) - set(ordinary))
+    for k in range(ROUNDS):
+        half, spies = halves[k % 2], held[k % 2]
+        spies = spies[:: max(1, -(-5 * len(spies) // max(1, len(others))))]
+        scores = Grammar(half, taught(others + spies), np.inf).score(others + spies)
+        low = np.quantile(scores[len(others) :], MISS)
+        others = [t for t, s in zip(others, scores.tolist()) if s < low]
+    return sorted(ordinary + others)
+
+
+def fit(credentials: list[list[str]], unlabelled: list[str], shortest: int = CANDIDATE) -> Grammar:
+    """Automata of all labelled credentials; plain tokens and cutoff by automata of one half and credentials of the other."""
+    classes = [c for c in credentials if len(c) >= LEAST]
+    tokens = sorted(set(unlabelled) - {t for c in credentials for t in c})
+    if not classes:
+        return Grammar([], taught(tokens), np.inf, shortest)
+    halves = [[PrefixTree(c[k::2]).merged() for c in classes] for k in (0, 1)]
+    held = [[t for c in classes for t in c[1 - k :: 2]] for k in (0, 1)]
+    known = known_plain(halves, held, tokens)
+    grammar = Grammar([PrefixTree(c).merged() for c in classes], taught(known), np.inf, shortest)
+    own = np.concatenate([Grammar(halves[k], grammar.plain, np.inf).score(held[k]) for k in (0, 1)])
+    reached, passed = np.quantile(own, MISS), np.quantile(grammar.score(known), 1 - FALSE) if known else 0.0
+    grammar.cutoff = max(0.0, float(min(reached, (reached + passed) / 2)))
     return grammar
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Grammar:
-    """Credentials and plain tokens of a sample of documents, at most ``SAMPLE_TOKENS`` of each class.
+    """Credentials, ordinary words and other tokens of a sample of documents, at most ``SAMPLE_TOKENS`` of each class.
 
     The sample stays where it is; only the chosen tokens come to the driver.
     """
@@ -218,22 +254,25 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Gr
                     spans = base_spans(text)
                     for start, kind, end in spans:
                         rows.append((kind, ASSIGN.match(text, start)[2] if kind == 0 else text[start:end]))
-                    for start, end in candidates(text):
+                    for start, end in candidates(text, LEAST_VALUE):
                         if not any(s < end and start < e for s, _, e in spans):
-                            rows.append((3, text[start:end]))
-                rows = [(k, t[:LONGEST]) for k, t in rows]
+                            word = ORDINARY.fullmatch(text, start, end) and not DIGIT.search(text, start, end)
+                            rows.append((4 if word else 3, text[start:end]))
+                rows = sorted({(k, t[:LONGEST]) for k, t in rows})
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.string())], ["kind", "token"]
                 )
 
     sample = hash_sample(texts(docs, id_col, text_col), "doc_id", SAMPLE_DOCUMENTS, docs.count())
     tokens = pin(sample.mapInArrow(run, "kind int, token string").distinct())  # read once for each class
+    shortest = min(CANDIDATE, tokens.where("kind < 3").agg(F.min(F.length("token"))).first()[0] or CANDIDATE)
+    long_enough = tokens.where((F.col("kind") < 3) | (F.length("token") >= shortest))
     chosen = [
-        tokens.where(F.col("kind") == kind).orderBy(F.xxhash64("token"), "token").limit(SAMPLE_TOKENS) for kind in range(4)
+        long_enough.where(F.col("kind") == kind).orderBy(F.xxhash64("token"), "token").limit(SAMPLE_TOKENS) for kind in range(5)
     ]
     rows = reduce(DataFrame.unionAll, chosen).collect()
-    by_kind = [sorted(r["token"] for r in rows if r["kind"] == k) for k in range(4)]
-    return fit(by_kind[:3], by_kind[3])
+    by_kind = [sorted(r["token"] for r in rows if r["kind"] == k) for k in range(5)]
+    return fit(by_kind[:3], by_kind[3] + by_kind[4], shortest)
 
 
 def spans_of(grammar: Grammar, texts_: list[str]) -> list[list[tuple[int, int, int]]]:
@@ -241,12 +280,13 @@ def spans_of(grammar: Grammar, texts_: list[str]) -> list[list[tuple[int, int, i
     found = [base_spans(t) for t in texts_]
     open_ = []
     for i, text in enumerate(texts_):
-        for start, end in candidates(text):
-            if not any(s < end and start < e for s, _, e in found[i]):
+        for start, end in candidates(text, grammar.shortest):
+            if not any(s <= start and end <= e for s, _, e in found[i]):
                 open_.append((i, start, end))
-    scores = grammar.score([texts_[i][a:b] for i, a, b in open_])
-    for (i, start, end), s in zip(open_, scores.tolist(), strict=True):
-        if s >= grammar.cutoff:
+    words = sorted({texts_[i][a:b] for i, a, b in open_})
+    scores = dict(zip(words, grammar.score(words).tolist(), strict=True))
+    for i, start, end in open_:
+        if scores[texts_[i][start:end]] >= grammar.cutoff:
             found[i].append((start, 3, end))
     return [sorted(f) for f in found]
 
