@@ -222,6 +222,27 @@ def test_license_lines_of_the_table(spark):
     assert sorted(got) == sorted(want) and want
 
 
+def test_versions_and_family_words_are_not_exchanged():
+    matcher, gpl3 = licenses.Matcher(), licenses.TEMPLATES["gpl-3.0-notice"]
+    texts = {
+        "This work is licensed under the GNU General Public License, version 2.": ["gpl-2.0"],
+        "This work is licensed under the GNU General Public License, version 3.0": ["gpl-3.0"],
+        "This work is licensed under the GNU General Public License, version 4.": [],
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.": ["lgpl-2.1"],
+        gpl3.replace("version 3", "version 2"): ["gpl-2.0-notice"],
+        gpl3.replace("version 3", "version 2") + "\n\n" + gpl3: ["gpl-2.0-notice", "gpl-3.0-notice"],
+        gpl3.replace("GNU", "GNU Lesser"): ["lgpl-3.0-notice"],
+        gpl3.replace("GNU", "GNU Affero").upper(): ["agpl-3.0-notice"],
+        "Licensed under the Apache License, Version 1.1": ["apache-1.1"],
+        "Licensed under the Apache License, Version 3.0": [],
+        "Licensed under CC BY-ND 3.0": ["cc-by-nd-3.0"],
+        licenses.TEMPLATES["isc"] + " " + licenses.TEMPLATES["isc-warranty"]: ["isc", "isc-warranty"],
+        licenses.TEMPLATES["mit-warranty"].replace(" ", "\n   "): ["mit-warranty"],
+    }
+    assert {t: [h[0] for h in matcher.find(t)] for t in texts} == texts
+    assert all([h[0] for h in matcher.find(f"some words {t} more words")] == [n] for n, t in licenses.TEMPLATES.items())
+
+
 def test_licenses_in_odd_texts(spark):
     notice = licenses.TEMPLATES["mit-permission"]
     changed = notice.replace("copy of this software", "copy of that software")
