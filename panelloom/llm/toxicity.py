@@ -2,10 +2,13 @@
 
 The kernel of two strings sums, over all sequences of ``ORDER`` letters, the products of their
 weights in both; an occurrence, gaps allowed, weighs ``DECAY`` to the length it spans, up to
-``SPAN``. So ``id-iot`` and ``i.d.i.o.t`` still share most sequences with ``idiot``.
+``SPAN``. A run of anything but letters is one gap, however long. So ``id-iot``, ``i.d.i.o.t`` and
+``i -- d -- i -- o -- t`` still share most sequences with ``idiot``; of other letters put in between,
+at most three fit into a sequence.
 
 The kernel is approximated by Nystroem landmarks: words of labelled documents, half of them the
-words most typical of toxic ones, half common words. With K the landmarks' kernel, a string s
+words most typical of toxic ones, half common words; words have two letters or more of any
+script, and in scripts without blanks every four letters are one. With K the landmarks' kernel, a string s
 becomes z(s) = K^(-1/2) k(s, landmarks), and a linear support vector machine works on z. Its
 decision is then linear in the letter sequences that landmarks hold, so it can be written as
 one table of weights, and scoring a text is a gather along it: no string is compared
@@ -15,13 +18,15 @@ Sentences are read in windows of ``WINDOW`` starting letters. A document's evide
 window, the number of separate places where a window is on the toxic side, and that number per
 thousand letters; a logistic curve over these makes the score a probability. Labels are per
 document, so training goes in rounds: take each training document's worst windows under the
-present decision and some fixed others, add the worst windows of clean documents to the
-landmarks, fit, and look again.
+present decision and some fixed others, add the worst windows of clean documents and as many of
+toxic ones to the landmarks, fit, and look again.
 
 Fitting uses ``DOCUMENTS`` to twice as many labelled documents by the hash of their ids,
-``LANDMARKS`` words and windows and at most ``PICKS`` windows of each of those documents. All
+twice ``LANDMARKS`` words and windows at most and at most ``PICKS`` windows of each of those documents. All
 texts are scored whole. Letter case does not count. What is no letter opens a gap, and may begin
-or end a sequence, so that the beginning of a word can count.
+and end a sequence, so that the beginning of a word can count. Letters beyond a-z and ``ACCENTED``
+are folded into the same alphabet by their code points: sequences of other scripts differ from each
+other, and only by chance are any the same as Latin ones.
 
 A null or empty text has the score of no evidence. Repeated rows are scored one by one; of
 several labels the highest counts; null labels say nothing. Without two classes among the
@@ -30,6 +35,7 @@ labels every score is the share of toxic ones (0 without labels). Extra columns
 
 from __future__ import annotations
 
+import unicodedata
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -44,8 +50,10 @@ from panelloom.session import scratch_path
 ORDER, SPAN, DECAY = 4, 7, 0.7
 WINDOW = 12
 PAD = WINDOW + SPAN  # between texts, so that no window sees two of them
-ACCENTED = "éèêçñóíáúäöüß"  # letters of their own; other letters beyond a-z share one code
-LETTERS = 27 + len(ACCENTED) + 1
+ACCENTED = "éèêçñóíáúäöüßø"  # letters of their own; others are folded into these and a-z
+LETTERS = 27 + len(ACCENTED)
+LONGEST = 24  # letters of a landmark word
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
 LANDMARKS = 192
 DOCUMENTS = 4000
 PICKS = 6
@@ -55,19 +63,49 @@ THRESHOLD = 0.5
 GAPS = list(combinations(range(1, SPAN), ORDER - 1))
 
 
+def fold(points: np.ndarray) -> np.ndarray:
+    return 1 + ((points.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)) % np.uint64(LETTERS - 1)
+
+
+def letter_table() -> np.ndarray:
+    """Codes of the first 65,536 code points."""
+    table = np.zeros(1 << 16, dtype=np.int8)
+    for p in range(len(table)):
+        c = chr(p).lower()[0]
+        # Vowel signs of Indic scripts are marks, but letters all the same.
+        if c.isalpha() or (0x900 <= p < 0x10A0 and unicodedata.category(c)[0] == "M"):
+            own = "abcdefghijklmnopqrstuvwxyz" + ACCENTED
+            table[p] = 1 + own.index(c) if c in own else fold(np.array([ord(c)]))[0]
+    return table
+
+
+TABLE = letter_table()
+
+
 def codes(points: np.ndarray) -> np.ndarray:
     """0 for anything but a letter; letters from 1, whatever their case."""
-    table = np.zeros(0x250, dtype=np.int32)
-    for p in range(len(table)):
-        c = chr(p).lower()
-        if c.isalpha():
-            low = ord(c[0])
-            table[p] = low - 96 if c.isascii() else 27 + (ACCENTED + c).index(c)
-    return table[np.minimum(points, len(table) - 1)]
+    out = TABLE[np.minimum(points, len(TABLE) - 1)].astype(np.int32)
+    far = points >= len(TABLE)
+    if far.any():
+        high = points[far]
+        out[far] = np.where((high < 0x1F000) | ((high >= 0x20000) & (high < 0x40000)), fold(high), 0)  # no pictures
+    return out
 
 
 def letters_of(text: str) -> np.ndarray:
-    return codes(np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32))
+    """The text's letters, every run of anything else one 0."""
+    return letters_of_all([text])[0]
+
+
+def letters_of_all(texts_: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The letters of all texts, one after another, and how many each has."""
+    raw = codes(np.frombuffer("".join(texts_).encode("utf-32-le"), dtype=np.uint32))
+    sizes = np.array([len(t) for t in texts_], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    keep = (raw > 0) | np.r_[True, raw > 0][: len(raw)]
+    keep[starts[sizes > 0]] = True
+    before = np.r_[0, np.cumsum(keep)]
+    return raw[keep], before[starts + sizes] - before[starts]
 
 
 def sequences(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,7 +115,7 @@ def sequences(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     index, weight = [], []
     for a, b, c in GAPS:
         parts = [code[:n], code[a : a + n], code[b : b + n], code[c : c + n]]
-        whole = (parts[1] > 0) & (parts[2] > 0) & ((parts[0] > 0) | (parts[3] > 0))
+        whole = (parts[1] > 0) & (parts[2] > 0)
         index.append((((parts[0] * LETTERS + parts[1]) * LETTERS + parts[2]) * LETTERS + parts[3])[whole])
         weight.append(np.full(int(whole.sum()), DECAY ** (c + 1)))
     return np.concatenate(index), np.concatenate(weight)
@@ -104,11 +142,10 @@ def evidence(code: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 def read_windows(table: np.ndarray, array: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The letters of all texts with ``PAD`` after each, where texts begin and end, and every window's sum."""
-    texts_ = array.to_pylist()
-    sizes = np.array([len(t) for t in texts_], dtype=np.int64)
+    flat, sizes = letters_of_all(array.to_pylist())
     starts = np.cumsum(sizes + PAD) - sizes - PAD
-    pad = "\0" * PAD
-    code = letters_of(pad.join([*texts_, ""]))
+    code = np.zeros(int((sizes + PAD).sum()), dtype=np.int32)
+    code[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(len(flat))] = flat
     sums = np.cumsum(evidence(code, table), dtype=np.float64)
     if len(sums):
         sums = np.r_[sums[WINDOW - 1 :], np.full(WINDOW - 1, sums[-1])] - np.r_[0.0, sums[:-1]]
@@ -120,8 +157,11 @@ def document_evidence(starts: np.ndarray, ends: np.ndarray, sums: np.ndarray, bo
     if not len(starts):
         return np.zeros((0, 3))
     beyond = sums > border
-    hits = np.add.reduceat((beyond & ~np.r_[False, beyond[:-1]]).astype(np.int64), starts)
-    return np.c_[np.maximum.reduceat(sums, starts), np.log1p(hits), np.minimum(20.0, 1000 * hits / (ends - starts + 50))]
+    fresh = beyond & ~np.r_[False, beyond[:-1]]
+    fresh[starts] = beyond[starts]  # what is before a text belongs to no text
+    own = np.c_[starts, ends].ravel()
+    hits = np.add.reduceat(fresh.astype(np.int64), own)[::2]
+    return np.c_[np.maximum.reduceat(sums, own)[::2], np.log1p(hits), np.minimum(20.0, 1000 * hits / (ends - starts + 50))]
 
 
 @dataclass
@@ -177,7 +217,8 @@ class Landmarks:
         width = max((len(t) for t in strings), default=0) + SPAN
         code = np.zeros((len(strings), width), dtype=np.int32)
         for k, text in enumerate(strings):
-            code[k, : len(text)] = letters_of(text)
+            letters = letters_of(text)
+            code[k, : len(letters)] = letters
         rows = np.r_[self.phi.T, np.zeros((1, len(self.phi)))].astype(np.float32)  # the last one for other sequences
         column_ = np.where(self.column < 0, len(self.used), self.column)
         kernel = np.zeros((len(strings), len(self.phi)), dtype=np.float32)
@@ -234,21 +275,24 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
 def landmark_words(sample: DataFrame) -> tuple[dict[str, float], list[str]]:
     """The words most typical of toxic documents, with how typical they are, and common words of the others."""
-    words = F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"[a-z{ACCENTED}]{{4,24}}"), F.lit(0))))
+    spaced = F.regexp_extract_all(F.lower("text"), F.lit(rf"[\p{{L}}\p{{M}}&&[^{UNSPACED}]]{{2,{LONGEST}}}"), F.lit(0))
+    unspaced = F.regexp_extract_all("text", F.lit(f"(?=([{UNSPACED}]{{{ORDER}}}))"), F.lit(1))
+    spaced = F.transform(spaced, lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
+    words = F.explode(F.array_union(spaced, unspaced))
     counts = sample.select("y", words.alias("word")).groupBy("word").agg(
         F.count_if(F.col("y") > 0).alias("pos"), F.count_if(F.col("y") <= 0).alias("neg")
     )
     n1, n0 = sample.agg(F.count_if(F.col("y") > 0), F.count_if(F.col("y") <= 0)).first()
     odds = F.log((F.col("pos") + 0.5) / (n1 + 1)) - F.log((F.col("neg") + 0.5) / (n0 + 1))
-    typical = counts.select("word", (odds * F.sqrt("pos")).alias("z")).orderBy(F.col("z").desc(), "word").limit(LANDMARKS // 4)
+    typical = counts.select("word", (odds * F.sqrt("pos")).alias("z")).orderBy(F.col("z").desc(), "word").limit(LANDMARKS // 2)
     common = counts.where("neg > 0").orderBy(F.col("neg").desc(), "word").limit(LANDMARKS // 4)
-    return {f" {r['word']} ": r["z"] for r in typical.collect()}, [f" {r['word']} " for r in common.select("word").collect()]
+    return {r["word"]: r["z"] for r in typical.collect()}, [r["word"] for r in common.select("word").collect()]
 
 
 def windows(table: np.ndarray, border: float, array: pa.Array) -> tuple[np.ndarray, list[list[str]]]:
     """Evidence of every text, its worst windows and, after those, windows at fixed places."""
     code, starts, ends, sums = read_windows(table, array)
-    alphabet = " abcdefghijklmnopqrstuvwxyz" + ACCENTED + "ø"
+    alphabet = " abcdefghijklmnopqrstuvwxyz" + ACCENTED
     picked = []
     for begin, end in zip(starts.tolist(), ends.tolist(), strict=True):
         own, some = sums[begin:end].copy(), []
@@ -281,13 +325,16 @@ def fit(typical: dict[str, float], common: list[str], see) -> Model:
     marks = Landmarks(list(dict.fromkeys([*typical, *common])))
     # To begin with, a window is as bad as it is near the most typical words.
     weight = (np.array([max(0.0, typical.get(w, 0.0)) ** 2 for w in marks.words]) @ marks.phi).astype(np.float32)
-    border, hard = 0.0, []
+    border, hard, bad = 0.0, [], []
     half = PICKS // 2
     for _ in range(ROUNDS):
         rows = see(marks.used, weight, border)
         clean = sorted((r for r in rows if r["y"] <= 0), key=lambda r: (-r["evidence"][0], r["picked"]))
         hard = list(dict.fromkeys([*hard, *(r["picked"][0] for r in clean[: LANDMARKS // 4])]))[: LANDMARKS // 2]
-        marks = Landmarks(list(dict.fromkeys([*typical, *common, *hard])))
+        toxic = sorted((r for r in rows if r["y"] > 0), key=lambda r: (-r["evidence"][0], r["picked"]))
+        spread = toxic[:: max(1, -(-len(toxic) // (LANDMARKS // 4)))]  # from the plainest to the least plain
+        bad = list(dict.fromkeys([*bad, *(r["picked"][0] for r in spread)]))[: LANDMARKS // 2]
+        marks = Landmarks(list(dict.fromkeys([*typical, *common, *hard, *bad])))
         chosen = [(s, r["y"]) for r in rows for s in (r["picked"][:half] if r["y"] > 0 else r["picked"][: half + 1])]
         w = machine(marks.features([s for s, _ in chosen]), np.array([y for _, y in chosen]))
         weight, border = marks.weights(w[:-1]), -float(w[-1])

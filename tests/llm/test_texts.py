@@ -201,6 +201,19 @@ def test_kernel_table_is_the_kernel():
     assert np.allclose(sums, z @ w, rtol=1e-3, atol=1e-3)
 
 
+def test_long_gaps_short_words_and_other_scripts(spark):
+    marks = toxicity.Landmarks([" idiot ", " ass "])
+    model = toxicity.Model(marks.used, marks.weights(np.ones(marks.root.shape[1])), 0.05, np.array([1.0, 1.0, 1.0, -1.0]))
+    same = model.score(model.table(), pa.array(["an i-d-i-o-t", "an i--d--i--o--t", "an i . d . i . o . t", "an i \u2014 d  \U0001f600 i--o--t"]))
+    assert np.allclose(same, same[0]) and same[0] > model.score(model.table(), pa.array(["a fine"]))[0]
+    assert len(set(toxicity.letters_of("идиот").tolist())) > 2 and toxicity.letters_of("ИДИОТ").tolist() == toxicity.letters_of("идиот").tolist()
+    for bad, good in (("ты полный идиот да", "какой хороший день"), ("你是一个大白痴啊", "今天天气非常好啊"), ("such an git ok", "such an day ok")):
+        docs = frame_of(spark, [(i, f"{bad if i % 2 else good} {i}") for i in range(80)])
+        labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+        rows = toxicity.score(docs, toxicity.learn(docs, labels)).collect()
+        assert np.mean([r["predicted"] == r["doc_id"] % 2 for r in rows]) > 0.95
+
+
 def test_windows_do_not_see_neighbours():
     marks = toxicity.Landmarks([" idiot "])
     model = toxicity.Model(marks.used, marks.weights(np.ones(marks.root.shape[1])), 0.05, np.array([1.0, 1.0, 1.0, -1.0]))
