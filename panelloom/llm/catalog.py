@@ -9,10 +9,11 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import licenses, mil, packing, pieces, records, rules, secrets, simhash, topk, toxicity
+from panelloom.llm import licenses, mil, packing, passages, pieces, records, rules, runs, secrets, simhash, topk, toxicity
 from panelloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
+BLACK = r"[^\x20\x09-\x0D]"
 
 
 def tokenizer_path(name: str) -> str:
@@ -72,6 +73,36 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = passages.remove_passages(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Every tenth document by the checksum of its id repeats a piece of itself up to its end, as the contract asks.
+
+    With h the checksum, g = h / 10 and n words, word i >= a = g % n becomes word a + (i - a) % p of the
+    original, p = 1 + (n - a) / (3 + g % 8). A null id is left alone.
+    """
+    check = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.col("text"), F.lit(f"({BLACK}+)"), F.lit(1))
+    cut = docs.withColumn("_h", check).withColumn("_words", F.when(F.col("_h") % 10 == 0, words))
+    placed = cut.withColumn("_n", F.size("_words")).withColumn("_g", F.expr("_h div 10"))
+    placed = placed.withColumn("_a", F.when(F.col("_n") > 0, F.expr("int(_g % _n)")))
+    placed = placed.withColumn("_p", F.expr("int(1 + (_n - _a) div (3 + _g % 8))"))
+    tail = F.transform(F.sequence(F.lit(0), F.col("_n") - F.col("_a") - 1), lambda i: F.get("_words", F.col("_a") + i % F.col("_p")))
+    planted = F.concat_ws(" ", F.slice("_words", 1, F.col("_a")), tail)
+    return placed.withColumn("text", F.when(F.col("_a").isNotNull(), planted).otherwise(F.col("text"))).select(*docs.columns)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse(with_planted_runs(read(spark, sf_dir, "documents").select("doc_id", "text")))
+    return found.select(
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli",
+        F.sha2("runs", 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_secrets": op1_secrets,
     "op2_quality": op2_quality,
@@ -83,10 +114,10 @@ QUERIES: dict[str, Query] = {
     "op8_token_records": op8_token_records,
     "op9_simhash": op9_simhash,
     "op10_top_k": op10_top_k,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
-BLACK = r"[^\x20\x09-\x0D]"
-
 
 def rules_sql() -> str:
     """The quality rules with their fitted cutoffs."""
@@ -157,6 +188,23 @@ def rules_sql() -> str:
 
 ORACLE: dict[str, str] = {
     "op7_quality_rules": rules_sql(),
+    "op12_substring_dedup": f"""
+        WITH split AS (
+            SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '{BLACK}+') AS words FROM documents
+        ),
+        windows AS (
+            SELECT id, doc_id, i, array_to_string(words[i:i + {passages.WIDTH - 1}], ' ') AS sequence
+            FROM (SELECT id, doc_id, words, unnest(range(1, len(words) - {passages.WIDTH - 2})) AS i FROM split)
+        ),
+        judged AS (SELECT id, doc_id, i, min(doc_id) OVER (PARTITION BY sequence) AS lowest FROM windows),
+        gone AS (
+            SELECT DISTINCT id, unnest(range(i, i + {passages.WIDTH})) AS place FROM judged WHERE lowest < doc_id
+        ),
+        listed AS (SELECT id, list(place) AS places, count(*) AS n FROM gone GROUP BY id)
+        SELECT s.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(array_to_string(list_filter(words, lambda w, k: NOT coalesce(list_contains(places, k), false)), ' ')) AS kept_sha256
+        FROM split s LEFT JOIN listed l ON l.id = s.id
+    """,
     "op10_top_k": """
         WITH v AS (
             SELECT vec_id, i, CAST(floor(64 * CAST(embedding[i] AS DOUBLE)) AS BIGINT) AS x
