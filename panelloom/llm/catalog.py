@@ -9,7 +9,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelloom.llm import licenses, mil, packing, passages, pieces, records, rules, runs, secrets, simhash, topk, toxicity
+from panelloom.llm import alignment, licenses, mil, packing, passages, pieces, records, rules, runs, secrets, simhash, topk, toxicity
 from panelloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,13 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(tokenizer_path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    found = alignment.align(read(spark, sf_dir, "documents"), definition, _pieces(tokenizer_path("piece_bpe_32k.model")))
+    return alignment.score(found)
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = passages.remove_passages(read(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -114,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "op8_token_records": op8_token_records,
     "op9_simhash": op9_simhash,
     "op10_top_k": op10_top_k,
+    "op11_token_alignment": op11_token_alignment,
     "op12_substring_dedup": op12_substring_dedup,
     "op13_periodic_runs": op13_periodic_runs,
 }
