@@ -22,6 +22,7 @@ one by one; an empty table gives an empty result; extra columns are not read.
 from __future__ import annotations
 
 import codecs
+import heapq
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +34,7 @@ from panelloom.llm.common import column, per_chunk, sha256_hex, texts
 
 META = "▁"
 ENCODE_BYTES = 8 << 20  # larger chunks repeat more words
+ROUNDS = 40
 NONE = np.int32(2**31 - 1)
 UNKNOWN_TEXT = " ⁇ "  # fixed value: how the library shows an unknown id
 
@@ -158,9 +160,13 @@ class Pieces:
         inner = np.flatnonzero(word[:-1] == word[1:])
         rank[inner] = self.pair_rank(sym[inner], sym[inner + 1])
 
-        done = []
+        done, rounds = [], 0
         while len(sym):
             starts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            if rounds == ROUNDS:
+                done.append(self._one_by_one(sym, word, origin, starts))
+                break
+            rounds += 1
             sizes = np.diff(np.r_[starts, len(sym)])
             best = np.repeat(np.minimum.reduceat(rank, starts), sizes)
             over = best == NONE
@@ -181,6 +187,40 @@ class Pieces:
         ids, word = self._spell_out(sym[order], word[order], points[origin[order]])
         return ids, np.searchsorted(word, np.arange(len(words) + 1))
 
+    def _one_by_one(self, sym, word, origin, starts):
+        """The rest of some words' merges, best pair first, leftmost on ties."""
+        known: dict[tuple[int, int], tuple[int, int]] = {}
+
+        def pair(left: int, right: int) -> tuple[int, int]:
+            if (left, right) not in known:
+                made = self.pair(np.array([left]), np.array([right]))
+                known[left, right] = (int(self.rank[made[0]]), int(made[0])) if made[0] >= 0 else (int(NONE), -1)
+            return known[left, right]
+
+        stay = np.zeros(len(sym), dtype=bool)
+        out = sym.copy()
+        for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), len(sym)], strict=True):
+            now = sym[begin:end].tolist()
+            n = len(now)
+            after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+            heap = [(pair(a, b)[0], i, a, b) for i, (a, b) in enumerate(zip(now, now[1:])) if pair(a, b)[1] >= 0]
+            heapq.heapify(heap)
+            while heap:
+                _, i, left, right = heapq.heappop(heap)
+                j = after[i]
+                if now[i] != left or j >= n or now[j] != right:
+                    continue  # one of them is gone
+                now[i], now[j] = pair(left, right)[1], -2
+                after[i] = after[j]
+                if after[i] < n:
+                    before[after[i]] = i
+                for k in (before[i], i):
+                    if k >= 0 and after[k] < n and pair(now[k], now[after[k]])[1] >= 0:
+                        heapq.heappush(heap, (pair(now[k], now[after[k]])[0], k, now[k], now[after[k]]))
+            out[begin:end] = now
+            stay[begin:end] = [s != -2 for s in now]
+        return out[stay], word[stay], origin[stay]
+
     def _merge(self, sym, word, origin, rank, at):
         """One round: merge the pairs that begin at ``at``, which do not overlap."""
         while True:
