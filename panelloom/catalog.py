@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelloom.functions.numeric import close_to, presence, settle, snap
@@ -58,14 +58,14 @@ CROSS_DAY = next(s for s in EWMA_SPECS if s.cross_day)
 LONG_HISTORY = EwmaSpec(30, "ewma_30hl")
 LONG_SERIES = EwmaSpec(5, "ewma_5hl")
 SHOWN_BITS = 24
-# Range filters of the slice queries, inclusive.
-STOCKS, HOURS = (25, 124), (9, 17)
+# Range filter of the slice queries, inclusive.
+HOURS = (9, 17)
 # Powers of two: a scaled feature has the very ranks of the feature itself.
 SCALES = {"": 1.0, "_x2": 2.0, "_x8": 8.0, "_q4": 0.25}
 
 
 def _all_days(spark: SparkSession, panel: EventsPanel) -> DataFrame:
-    return day_range(spark, 0, panel.days)
+    return day_range(spark, panel.first_day, panel.days)
 
 
 def _snapped(df: DataFrame, columns, decimals: int = 9) -> DataFrame:
@@ -84,15 +84,23 @@ def panel_scan(spark, folder):
     return events_panel(spark, folder).df
 
 
+def _middle_stocks(spark, folder) -> tuple[int, int]:
+    """The ids of the log but for a tenth of their span at either end."""
+    users = event_cells(spark.read.parquet(f"{folder}/events.parquet"))
+    low, high = users.agg(F.min("stockid"), F.max("stockid")).first()
+    return (0, 0) if low is None else (low + (high - low) // 10, high - (high - low) // 10)
+
+
 def panel_slice(spark, folder):
     panel = events_panel(spark, folder)
-    return slice_panel(panel.df, panel.features, days=(7, 8), stocks=STOCKS, times=(0, 23))
+    stocks = _middle_stocks(spark, folder)
+    return slice_panel(panel.df, panel.features, days=(7, 8), stocks=stocks, times=(0, 23))
 
 
 def _shards(spark, folder):
     panel = events_panel(spark, folder)
     path = scratch_path(spark, "shards")
-    receipt = build_raw_shards(spark, panel.df, path, 0, panel.days)
+    receipt = build_raw_shards(spark, panel.df, path, panel.first_day, panel.days)
     return panel, path, receipt
 
 
@@ -145,7 +153,7 @@ def footer_audit(spark, folder):
     _break_day(spark, path, 5)
     panel.df.where("dateid = 8").drop("dateid", "v_sum").write.mode("append").parquet(f"{path}/dateid=8")
     _drop_day(spark, path, 9)
-    return audit_days(audit_files(spark, path), day_range(spark, 0, panel.days + EXTRA_DAYS))
+    return audit_days(audit_files(spark, path), day_range(spark, panel.first_day, panel.days + EXTRA_DAYS))
 
 
 def path_days(spark, folder):
@@ -177,6 +185,25 @@ def rewrite_one_day(spark, folder):
     return rows_per_day(read_days(spark, path, schema))
 
 
+def output_order(spark, folder):
+    """Rows of each written day, and how many come before their predecessor in the file by time and stock."""
+    panel, path, _ = _shards(spark, folder)
+    ordered = scratch_path(spark, "ordered")
+    write_days(panel.df, ordered)
+    stored = spark.read.schema(stored_schema(panel.df)).parquet(ordered)
+    placed = stored.select("dateid", F.struct("timeid", "stockid").alias("key"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    before = F.lag("key").over(Window.partitionBy("file").orderBy("at"))
+    late = F.count_if(F.col("key") < F.col("before"))
+    return placed.withColumn("before", before).groupBy("dateid").agg(F.count(F.lit(1)).alias("rows"), late.alias("out_of_order"))
+
+
+def receipt_order(spark, folder):
+    """The place of each day in the receipt, as it comes."""
+    _, _, receipt = _shards(spark, folder)
+    numbered = receipt.select("dateid", F.monotonically_increasing_id().alias("at"))
+    return numbered.select("dateid", F.row_number().over(Window.orderBy("at")).cast("long").alias("place"))
+
+
 # Projections and filters
 
 
@@ -187,7 +214,7 @@ def half_open_days(spark, folder):
 
 def inclusive_ranges(spark, folder):
     panel = events_panel(spark, folder)
-    return slice_panel(panel.df, panel.features, stocks=STOCKS, times=HOURS)
+    return slice_panel(panel.df, panel.features, stocks=_middle_stocks(spark, folder), times=HOURS)
 
 
 def base_projection(spark, folder):
@@ -236,7 +263,7 @@ def buildable_order_days(spark, folder):
 
 def pending_output_days(spark, folder):
     panel, path, _ = _shards(spark, folder)
-    return pending_days(spark, path, 0, panel.days + EXTRA_DAYS)
+    return pending_days(spark, path, panel.first_day, panel.days + EXTRA_DAYS)
 
 
 def two_day_rows(spark, folder):
@@ -262,12 +289,18 @@ def _cells(spark, folder) -> DataFrame:
     return cells.select("stockid", "dateid", F.when(F.col("timeid") != 5, F.col("timeid")).alias("timeid"), "value", (F.col("value") / 2).alias("half"))
 
 
-def cell_rank(engine: str, weighted: bool = False) -> Query:
+def cell_rank(engine: str, weighted: bool = False, lost: bool = False) -> Query:
+    """With ``lost`` weights some rows weigh nothing and some have no weight."""
+
     def query(spark, folder):
         cells = _cells(spark, folder)
         if not weighted:
             return xsec_rank(cells, ["value", "half"], engine=engine)
-        heavy = cells.withColumn("weight", (1 + F.col("stockid") % 7).cast("double"))
+        weight = (1 + F.col("stockid") % 7).cast("double")
+        if lost:
+            third = F.col("stockid") % 3
+            weight = F.when(third == 0, weight).when(third == 1, F.lit(0.0))
+        heavy = cells.withColumn("weight", weight)
         ranked = xsec_rank(heavy, ["value", "half"], weight="weight", engine=engine)
         return _snapped(ranked, ["value_r", "half_r"])
 
@@ -321,7 +354,7 @@ def long_history_close(spark, folder):
     """Rows where the block form and the single window differ, by feature: none."""
     panel = events_panel(spark, folder)
     both = causal_ewma(
-        panel.df, panel.features, [EwmaSpec(30, "plain")], ["stockid"], ["dateid", "timeid"], panel.days * 24
+        panel.df, panel.features, [EwmaSpec(30, "plain")], ["stockid"], ["dateid", "timeid"], (panel.days - panel.first_day) * panel.times_per_day
     )
     both = causal_ewma(both, panel.features, [EwmaSpec(30, "blocks")], ["stockid"], ["dateid", "timeid"], None)
     return both.groupBy("dateid").agg(
@@ -491,7 +524,7 @@ def _shards_and_range(spark, folder, build=build_range):
     raw = read_days(spark, shards, stored_schema(panel.df), panel.df.columns)
     path = scratch_path(spark, "packets")
     options = dict(times_per_day=panel.times_per_day, largest=panel.users)
-    done = build(spark, raw, panel.features, path, 0, panel.days + EXTRA_DAYS, **options)
+    done = build(spark, raw, panel.features, path, panel.first_day, panel.days + EXTRA_DAYS, **options)
     return panel, raw, path, options, done
 
 
@@ -503,7 +536,7 @@ def build_report(spark, folder):
     raw = read_days(spark, shards, stored_schema(panel.df), panel.df.columns)
     options = dict(times_per_day=panel.times_per_day, largest=panel.users, raw_folder=shards)
     status, _, _ = build_range(
-        spark, raw, panel.features, scratch_path(spark, "packets"), 0, panel.days + EXTRA_DAYS, **options
+        spark, raw, panel.features, scratch_path(spark, "packets"), panel.first_day, panel.days + EXTRA_DAYS, **options
     )
     return status
 
@@ -517,7 +550,7 @@ def _damaged_range(spark, folder):
     narrow = pin(stored.drop(stored.columns[-1]))
     narrow.write.mode("overwrite").parquet(f"{path}/dateid=7")
     columns = len(packet_columns(panel.features, labels=[]))
-    return verify_range(spark, path, 0, panel.days + EXTRA_DAYS, columns)
+    return verify_range(spark, path, panel.first_day, panel.days + EXTRA_DAYS, columns)
 
 
 def verify_report(spark, folder):
@@ -542,7 +575,7 @@ def wide_packet(spark, folder):
     raw, features = _wide(panel)
     path = scratch_path(spark, "wide")
     raw.write.parquet(path)
-    stored = read_panel(spark, path, features, days=(0, panel.days), times=(0, panel.times_per_day - 1))
+    stored = read_panel(spark, path, features, days=(panel.first_day, panel.days), times=(0, panel.times_per_day - 1))
     return build_packets(stored, features, _all_days(spark, panel), times_per_day=panel.times_per_day)
 
 
@@ -582,7 +615,7 @@ def legacy_range(spark, folder):
     """Receipt of the legacy packets of all days."""
     panel, shards, _ = _shards(spark, folder)
     raw = read_days(spark, shards, stored_schema(panel.df), panel.df.columns)
-    receipt = build_legacy_range(spark, raw, panel.features, scratch_path(spark, "legacy"), 0, panel.days + EXTRA_DAYS)
+    receipt = build_legacy_range(spark, raw, panel.features, scratch_path(spark, "legacy"), panel.first_day, panel.days + EXTRA_DAYS)
     return receipt.select("dateid", "rows")
 
 
@@ -600,8 +633,8 @@ def backfilled_packets(spark, folder):
     raw = read_days(spark, shards, stored_schema(panel.df), panel.df.columns)
     path = scratch_path(spark, "packets")
     options = dict(times_per_day=panel.times_per_day, largest=panel.users)
-    build_range(spark, raw, panel.features, path, 0, panel.days // 2, **options)
-    build_range(spark, raw, panel.features, path, 0, panel.days, skip_existing=True, **options)
+    build_range(spark, raw, panel.features, path, panel.first_day, panel.days // 2, **options)
+    build_range(spark, raw, panel.features, path, panel.first_day, panel.days, skip_existing=True, **options)
     columns = packet_columns(panel.features, labels=[])
     return read_days(spark, path, stored_schema(spark.read.parquet(path)), columns)
 
@@ -659,6 +692,12 @@ QUERIES: dict[str, Query] = {
     "w11_cells_vector": cell_rank("vector", weighted=True),
     "w11_cells_slices": cell_rank("slices", weighted=True),
     "w11_cells_split": cell_rank("split", weighted=True),
+    "w11_lost_weights_windows": cell_rank("windows", weighted=True, lost=True),
+    "w11_lost_weights_vector": cell_rank("vector", weighted=True, lost=True),
+    "w11_lost_weights_slices": cell_rank("slices", weighted=True, lost=True),
+    "w11_lost_weights_split": cell_rank("split", weighted=True, lost=True),
+    "o2_output_order": output_order,
+    "o3_receipt_order": receipt_order,
     "m5_close_to_whole": rounded_values_close,
     "p1_packet_wide": wide_packet,
     "p1_packet_daily_files": wide_packet_of_files,

@@ -33,9 +33,9 @@ def blocked_days(days: DataFrame) -> DataFrame:
 
 
 def buildable_days(days: DataFrame, requested: DataFrame) -> DataFrame:
-    """Requested days that have rows and, after day 0, a previous day."""
+    """Requested days that have rows and, after day 0, a previous day; days up to day 0 need none."""
     followed = days.select((F.col("dateid") + 1).alias("dateid"))
-    ready = days.where(F.col("dateid") == 0).unionByName(days.join(followed, "dateid", "left_semi"))
+    ready = days.where(F.col("dateid") <= 0).unionByName(days.where(F.col("dateid") > 0).join(followed, "dateid", "left_semi"))
     return requested.join(ready, "dateid", "left_semi")
 
 

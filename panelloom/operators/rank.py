@@ -7,7 +7,8 @@ With ``below`` and ``tied`` counting smaller and equal values this is
     (below + (tied - 1) / 2) / (n - 1).
 
 Row weights generalise it: every count becomes a sum of weights, and the ones
-become the row's own weight.
+become the row's own weight. A row without a weight (NULL or NaN) is ranked like the
+others and counts nothing, as with weight zero; where nothing else counts the rank is 0.5.
 
 Four plans give the same numbers; ``xsec_rank`` picks one from the column count and
 the size of the largest group:
@@ -33,6 +34,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from panelloom.functions.numeric import missing_to_null
 from panelloom.operators import vector
 from panelloom.session import pin, same_keys, spread
 from panelloom.spec import CROSS_SECTION
@@ -64,6 +66,11 @@ def normalised(below: Column, tied: Column, own: Column, total: Column) -> Colum
     return F.when(rest == 0, F.lit(0.5)).otherwise((below + (tied - own) / F.lit(2.0)) / rest)
 
 
+def row_weight(weight: str) -> Column:
+    """The weight of a row in all plans but the matrix ones, which treat NULL and NaN the same way."""
+    return F.coalesce(missing_to_null(F.col(weight).cast("double")), F.lit(0.0))
+
+
 def rank_over(value: Column, by: Sequence[str], weight: Column | None = None) -> Column:
     """The rank as one window specification, so that one Sort and one Window do."""
     ordered = Window.partitionBy(*by).orderBy(value.asc_nulls_last())
@@ -126,7 +133,7 @@ def _split_rank(df: DataFrame, columns: Sequence[str], by: Sequence[str], names,
     numbered = _numbered(df)
     carried = ["_row", *by] + ([weight] if weight and weight not in by else [])
     long = numbered.unpivot(carried, list(columns), "_column", "_value")
-    own = F.lit(1) if weight is None else F.col(weight)
+    own = F.lit(1) if weight is None else row_weight(weight)
     match = [*by, "_column", "_value"]
     totals = pin(value_totals(long, match[:-1], "_value", split=True, measure=own))
     rows = totals.agg(F.sum("rows")).first()[0] or 0
@@ -197,5 +204,5 @@ def xsec_rank(
         df = spread(df, *by)
     if engine == "vector":
         return vector.rank_columns(df, columns, by, names, weight)
-    own = None if weight is None else F.col(weight)
+    own = None if weight is None else row_weight(weight)
     return df.select(*ids, *(rank_over(F.col(c), by, own).alias(names[c]) for c in columns))

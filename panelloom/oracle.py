@@ -34,7 +34,7 @@ cells AS (
          CAST(hour(ts) AS INTEGER) AS timeid, value
   FROM events),
 day_list AS (SELECT DISTINCT dateid FROM cells),
-asked AS (SELECT CAST(unnest(range(0, (SELECT max(dateid) + {1 + EXTRA_DAYS} FROM cells))) AS INTEGER) AS dateid),
+asked AS (SELECT CAST(unnest(range((SELECT least(0, min(dateid)) FROM cells), (SELECT max(dateid) + {1 + EXTRA_DAYS} FROM cells))) AS INTEGER) AS dateid),
 hour_list AS (SELECT CAST(unnest(range(0, 24)) AS INTEGER) AS timeid),
 grid AS (
   SELECT u.stockid, d.dateid, h.timeid
@@ -189,14 +189,14 @@ def trailing_rank() -> str:
 
 def weighted_rank(columns=FEATURES, source: str = "weighted", *more: str) -> str:
     def one(f: str) -> str:
-        own = f"(CASE WHEN {f} IS NOT NULL THEN weight END)"
+        own = f"(CASE WHEN {f} IS NOT NULL THEN coalesce(weight, 0) END)"
         ordered = f"PARTITION BY dateid, timeid ORDER BY {f} ASC NULLS LAST"
         upto = f"(sum({own}) OVER ({ordered} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"
         tied = f"(sum({own}) OVER (PARTITION BY dateid, timeid, {f}))"
         total = f"(sum({own}) OVER (PARTITION BY dateid, timeid))"
-        value = f"({upto} - {tied} + ({tied} - weight) / 2e0) / ({total} - weight)"
+        value = f"({upto} - {tied} + ({tied} - coalesce(weight, 0)) / 2e0) / ({total} - coalesce(weight, 0))"
         return (
-            f"CASE WHEN {f} IS NULL THEN NULL WHEN {total} = weight THEN 0.5e0 ELSE {snap(value)} END AS {f}_r"
+            f"CASE WHEN {f} IS NULL THEN NULL WHEN {total} = coalesce(weight, 0) THEN 0.5e0 ELSE {snap(value)} END AS {f}_r"
         )
 
     more = more or ("weighted AS (SELECT *, CAST(1 + stockid % 7 AS DOUBLE) AS weight FROM panel)",)
@@ -243,6 +243,12 @@ def verify(columns: int) -> str:
 FROM asked a LEFT JOIN day_list d ON a.dateid = d.dateid LEFT JOIN counted c ON a.dateid = c.dateid"""
 
 
+MIDDLE = """stockid BETWEEN (SELECT min(stockid) + (max(stockid) - min(stockid)) // 10 FROM cells)
+  AND (SELECT max(stockid) - (max(stockid) - min(stockid)) // 10 FROM cells)"""
+
+LOST_WEIGHTS = """
+lost AS (SELECT stockid, dateid, CASE WHEN timeid <> 5 THEN timeid END AS timeid, value, value / 2 AS half,
+                CAST(CASE stockid % 3 WHEN 0 THEN 1 + stockid % 7 WHEN 1 THEN 0 END AS DOUBLE) AS weight FROM cells)"""
 CELLS = """
 lost AS (SELECT stockid, dateid, CASE WHEN timeid <> 5 THEN timeid END AS timeid, value, value / 2 AS half,
                 CAST(1 + stockid % 7 AS DOUBLE) AS weight FROM cells)"""
@@ -301,7 +307,7 @@ def flags(rows) -> str:
 def build_sql() -> dict[str, str]:
     sql = {
         "s1_panel_slice": with_panel(
-            f"SELECT {ALL} FROM panel WHERE dateid >= 7 AND dateid < 8 AND stockid BETWEEN 25 AND 124 "
+            f"SELECT {ALL} FROM panel WHERE dateid >= 7 AND dateid < 8 AND {MIDDLE} "
             "AND timeid BETWEEN 0 AND 23"
         ),
         "s2_daily_shard": with_panel(f"SELECT {ALL} FROM panel WHERE dateid = 10"),
@@ -333,9 +339,11 @@ FROM asked a LEFT JOIN day_list d ON a.dateid = d.dateid LEFT JOIN counted c ON
 FROM asked a LEFT JOIN counted c ON a.dateid = c.dateid""",
             COUNTED,
         ),
+        "o2_output_order": with_panel("SELECT dateid, rows, CAST(0 AS BIGINT) AS out_of_order FROM counted", COUNTED),
+        "o3_receipt_order": with_panel("SELECT dateid, row_number() OVER (ORDER BY dateid) AS place FROM counted", COUNTED),
         "f1_half_open_days": with_panel(f"SELECT {ALL} FROM panel WHERE dateid >= 5 AND dateid < 12"),
         "f2_inclusive_ranges": with_panel(
-            f"SELECT {ALL} FROM panel WHERE stockid BETWEEN 25 AND 124 AND timeid BETWEEN 9 AND 17"
+            f"SELECT {ALL} FROM panel WHERE {MIDDLE} AND timeid BETWEEN 9 AND 17"
         ),
         "f4_base_projection": with_panel(f"SELECT {KEYS} FROM panel"),
         "f8_empty_placeholders": with_panel(
@@ -453,6 +461,7 @@ UNION ALL SELECT 'unique_keys', '{KEYS}', (SELECT count(*) = count(DISTINCT ({KE
         sql[name] = RAW_RANK
     for engine in ("windows", "vector", "slices", "split"):
         sql[f"w1_cells_{engine}"] = cell_rank()
+        sql[f"w11_lost_weights_{engine}"] = weighted_rank(["value", "half"], "lost", LOST_WEIGHTS)
         sql[f"w11_cells_{engine}"] = weighted_rank(["value", "half"], "lost", CELLS)
     for spec in SAME:
         sql[f"w2_{spec.suffix}"] = same_day_ewma(spec)

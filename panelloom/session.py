@@ -48,11 +48,29 @@ def pin(df: DataFrame) -> DataFrame:
 TASK_BYTES = 128 * 1024 * 1024
 
 
+def estimated_bytes(plan) -> int:
+    """Bytes of a logical plan's result by the optimizer's estimates, but for joins.
+
+    Without statistics the optimizer multiplies the sides of a join. The joins of this package look
+    up one row for each of the larger side's, so the sum of both sides is the better guess.
+    """
+    children = plan.children()
+    parts = [children.apply(i) for i in range(children.size())]
+    own = int(plan.stats().sizeInBytes())
+    if not parts:
+        return own
+    inputs = [estimated_bytes(p) for p in parts]
+    if len(parts) > 1:
+        return sum(inputs)
+    before = int(parts[0].stats().sizeInBytes())
+    return inputs[0] * own // max(1, before)
+
+
 def partition_count(df: DataFrame) -> int:
-    """Partitions for a main shuffle of ``df``: its bytes by the optimizer's estimate, and at least
+    """Partitions for a main shuffle of ``df``: its estimated bytes, and at least
     ``spark.sql.shuffle.partitions``. Where there is no estimate the setting stands alone."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    size = estimated_bytes(df._jdf.queryExecution().optimizedPlan())
     return least if size >= 1 << 60 else max(least, -(-size // TASK_BYTES))
 
 

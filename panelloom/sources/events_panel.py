@@ -21,6 +21,7 @@ class EventsPanel:
     df: DataFrame
     days: int
     users: int
+    first_day: int = 0
     features: tuple[str, ...] = tuple(FEATURES)
     times_per_day: int = HOURS
 
@@ -76,4 +77,4 @@ def events_panel(spark: SparkSession, folder: str) -> EventsPanel:
         )
     )
     days = known[-1] + 1 if known else 0
-    return EventsPanel(panel, days, users.count())
+    return EventsPanel(panel, days, users.count(), min([0, *known[:1]]))

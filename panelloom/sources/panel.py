@@ -11,8 +11,8 @@ from pyspark.sql import types as T
 from panelloom.functions.numeric import clean_features
 from panelloom.spec import KEYS, LABELS
 
-DAY_FILE = r"d([0-9]+)\.parquet$"
-DAY_FOLDER = r"dateid=([0-9]+)/"
+DAY_FILE = r"d(-?[0-9]+)\.parquet$"
+DAY_FOLDER = r"dateid=(-?[0-9]+)/"
 
 
 def panel_schema(features: Sequence[str], labels: Sequence[str] = ()) -> T.StructType:
