@@ -35,6 +35,8 @@ from panelloom.plans.shards import build_raw_shards, in_days
 from panelloom.plans.verify import gate, pending_days, verify_range
 from panelloom.session import pin, scratch_path
 from panelloom.sinks.daily import read_days, stored_schema, write_days
+from panelloom.sinks.staged import finish_swap, replace_days
+from panelloom.sources.contents import day_folder_of
 from panelloom.sources.events_panel import EventsPanel, event_cells, events_panel
 from panelloom.sources.footers import audit_days, audit_files
 from panelloom.sources.panel import day_file_name, day_of_path, read_daily_files, read_panel, slice_panel
@@ -541,6 +543,76 @@ def build_report(spark, folder):
     return status
 
 
+def _damage_page(spark, path: str, day: int) -> None:
+    """Overwrite bytes amid the data pages of a day's first file; its footer stays whole."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{path}/dateid={day}")
+    name, content = files.orderBy("path").select("path", "content").first()
+    footer = int.from_bytes(content[-8:-4], "little") + 8
+    at = (len(content) - footer) // 2
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(name)
+    stream = where.getFileSystem(context._jsc.hadoopConfiguration()).create(where, True)
+    stream.write(bytearray(content[:at]) + bytearray(b"\xa5" * 64) + bytearray(content[at + 64 :]))
+    stream.close()
+
+
+def damaged_build(spark, folder):
+    """Raw day 4 has a damaged page, day 9 a broken footer, a file of day 15 lacks a column, day 20 is gone."""
+    panel, shards, _ = _shards(spark, folder)
+    raw = read_days(spark, shards, stored_schema(panel.df), panel.df.columns)
+    _damage_page(spark, shards, 4)
+    _break_day(spark, shards, 9)
+    panel.df.where("dateid = 15").drop("dateid", "v_sum").write.mode("append").parquet(f"{shards}/dateid=15")
+    _drop_day(spark, shards, 20)
+    raw = read_days(spark, shards, stored_schema(panel.df), panel.df.columns)
+    options = dict(times_per_day=panel.times_per_day, largest=panel.users)
+    status, _, _ = build_range(
+        spark, raw, panel.features, scratch_path(spark, "packets"), panel.first_day, panel.days + EXTRA_DAYS, **options
+    )
+    return status
+
+
+def restated_days(spark, folder):
+    """All days are built, raw day 6 is corrected (every value doubled), and all days are asked for again: which
+    packets are new, by the files that hold them."""
+    panel, raw, path, options, _ = _shards_and_range(spark, folder)
+    files = lambda: pin(audit_files(spark, path).select("dateid", F.element_at(F.split("path", "/"), -1).alias("file")))
+    before = files()
+    shards = day_folder_of(raw)
+    doubled = panel.df.where("dateid = 6").withColumns({f: F.col(f) * 2 for f in panel.features})
+    replace_days(pin(doubled), shards)
+    fresh = read_days(spark, shards, stored_schema(panel.df), panel.df.columns)
+    build_range(spark, fresh, panel.features, path, panel.first_day, panel.days, skip_existing=True, **options)
+    new = files().join(before, ["dateid", "file"], "left_anti").select("dateid").distinct()
+    return new.select("dateid", F.lit(True).alias("restated"))
+
+
+class _Stop(Exception):
+    pass
+
+
+def resumed_swap(spark, folder):
+    """Days 2 to 9 are replaced by their rows with a sum; the swap stops behind its third day and is taken up again.
+
+    ``at_stop`` are the rows of each day in between, ``rows`` those at the end.
+    """
+    panel, path, _ = _shards(spark, folder)
+    schema, days = stored_schema(panel.df), []
+
+    def stop(day: str) -> None:
+        days.append(day)
+        if len(days) == 3:
+            raise _Stop
+
+    try:
+        replace_days(panel.df.where("dateid BETWEEN 2 AND 9 AND v_sum IS NOT NULL"), path, stop)
+    except _Stop:
+        pass
+    between = pin(rows_per_day(read_days(spark, path, schema))).withColumnRenamed("rows", "at_stop")
+    finish_swap(spark, path)
+    return between.join(rows_per_day(read_days(spark, path, schema)), "dateid", "full")
+
+
 def _damaged_range(spark, folder):
     """Packets of which day 3 has a broken file, day 4 no rows and day 7 a column less."""
     panel, _, path, _, _ = _shards_and_range(spark, folder)
@@ -663,6 +735,9 @@ QUERIES: dict[str, Query] = {
     "k4_shard_receipt": shard_receipt,
     "a2_chunks_per_day": chunks_per_day,
     "k5_build_status": build_report,
+    "k5_damaged_days": damaged_build,
+    "k2_resumed_swap": resumed_swap,
+    "p4_restated_days": restated_days,
     "f1_half_open_days": half_open_days,
     "f2_inclusive_ranges": inclusive_ranges,
     "f4_base_projection": base_projection,

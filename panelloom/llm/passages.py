@@ -14,8 +14,10 @@ starts in a document with a smaller id. All windows are judged on the input.
    key. A chunk of texts gives one row for each key, whatever number of its texts have it, so the key
    of a frequent window has at most one row a chunk. The smallest id of the group is compared
    with each text that has the window.
-3. Removal. The keys to be removed from a text go back to it (by id and a hash of the text, which equal
-   rows share); the text's windows are cut again and the words under these keys go.
+3. Removal. The places of such windows go back to their text (by id and a hash of the text, which equal
+   rows share), one place for each different window; the text's windows are cut again, and the words
+   under these windows, wherever in the text they stand, go. Texts that a bitmap of fixed size shows to have
+   no such place are finished where they are read; the bitmap can only send a text too many the long way.
 
 A null id is larger than every id. Null and empty texts have no words. Rows with equal ids do not
 remove each other's words. Repeated rows get the same result each. An empty table gives an
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 
 from panelloom.llm.common import arrow_rows, chunks, column, give_back, texts
 from panelloom.llm.words import coded, joined, split
+from panelloom.session import scratch_path
 
 WIDTH = 13
 BITS = 28
@@ -43,6 +46,7 @@ SLICE_BITS = 24
 FLUSH = 4 << 20
 TEXT_BYTES = 4 << 20
 LAST = (1 << 63) - 1  # stands for a null id
+FILTER_BITS = 26
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -73,13 +77,14 @@ def windows(array: pa.Array, width: int) -> tuple[pa.Array, np.ndarray, np.ndarr
 
 
 def once_a_text(first: np.ndarray, at: np.ndarray, key: np.ndarray, tag: np.ndarray) -> tuple[np.ndarray, ...]:
-    """``text, key, tag`` of the different windows of every text, by key."""
+    """``text``, ``place`` (word of the text), ``key``, ``tag`` of the different windows of every text, by key."""
     text = np.searchsorted(first, at, "right") - 1
-    order = np.lexsort((text, tag, key))
-    text, key, tag = text[order], key[order], tag[order]
+    order = np.lexsort((at, tag, key))
+    text, at, key, tag = text[order], at[order], key[order], tag[order]
     new = np.ones(len(text), dtype=bool)
     new[1:] = (text[1:] != text[:-1]) | (key[1:] != key[:-1]) | (tag[1:] != tag[:-1])
-    return text[new], key[new], tag[new]
+    text = text[new]
+    return text, (at[new] - first[text]).astype(np.int32), key[new], tag[new]
 
 
 def cells(key: np.ndarray, row: int, bits: int) -> np.ndarray:
@@ -125,7 +130,7 @@ def partial_sketches(docs: DataFrame, width: int, bits: int) -> DataFrame:
         for batch in batches:
             for part in chunks(batch, size=TEXT_BYTES):
                 _, first, at, key, tag = windows(column(part, "text"), width)
-                held.append(once_a_text(first, at, key, tag)[1])
+                held.append(once_a_text(first, at, key, tag)[2])
                 used += len(held[-1])
                 if used >= FLUSH:
                     yield give()
@@ -139,15 +144,15 @@ def partial_sketches(docs: DataFrame, width: int, bits: int) -> DataFrame:
 
 
 def merged_sketch(parts: DataFrame, bits: int) -> DataFrame:
-    """``slice``, ``twice``: for each cell of a slice one bit, whether it was hit twice or more."""
+    """``slice``, ``twice``: for each cell of a slice one bit, whether it was hit twice or more; compressed."""
     slice_bits = min(SLICE_BITS, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One slice after another, whatever number of tasks added to it."""
-        current, times = None, np.zeros(1 << slice_bits, dtype=np.uint8)
+        current, times, zip_ = None, np.zeros(1 << slice_bits, dtype=np.uint8), zstandard.ZstdCompressor(level=1)
 
         def give() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([np.packbits(times > 1).tobytes()], pa.binary())], ["slice", "twice"])
+            return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([zip_.compress(np.packbits(times > 1).tobytes())], pa.binary())], ["slice", "twice"])
 
         for batch in batches:
             for s, n, blob in zip(*(column(batch, c).to_pylist() for c in ("slice", "n", "cells")), strict=True):
@@ -180,7 +185,7 @@ def opened(sketch: dict[int, bytes], bits: int) -> np.ndarray:
     size = (1 << slice_bits) // 8
     for s, blob in sketch.items():
         row, place = divmod(s, 1 << (bits - slice_bits))
-        out[row, place * size : (place + 1) * size] = np.frombuffer(blob, dtype=np.uint8)
+        out[row, place * size : (place + 1) * size] = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
     return out
 
 
@@ -193,97 +198,114 @@ def may_repeat(key: np.ndarray, sketch: np.ndarray, bits: int) -> np.ndarray:
 
 
 def candidates(docs: DataFrame, sketch, width: int, bits: int) -> DataFrame:
-    """``key``, ``tag``, ``doc_id``, ``mark`` of the smallest id of a chunk with a window estimated repeated, and
-    ``others`` (``doc_id, mark`` of its other texts with it)."""
-    names = ["key", "tag", "doc_id", "mark", "others"]
-    other = pa.struct([("doc_id", pa.int64()), ("mark", pa.int64())])
+    """``key``, ``tag``, and ``doc_id``, ``mark``, ``place`` of the smallest id of a chunk that has the window; ``others`` are
+    the same of the chunk's other texts with it. Windows that cannot be repeated are left out."""
+    names = ["key", "tag", "doc_id", "mark", "place", "others"]
+    other = pa.struct([("doc_id", pa.int64()), ("mark", pa.int64()), ("place", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = opened(sketch.value, bits)
         for batch in batches:
             for part in chunks(batch, size=TEXT_BYTES):
+                # Texts in the order of their ids, so that the first one of a key has the smallest.
+                part = part.sort_by([("doc_id", "ascending"), ("mark", "ascending")])
                 _, first, at, key, tag = windows(column(part, "text"), width)
                 ok = may_repeat(key, rows, bits)
-                ids = column(part, "doc_id").to_numpy(zero_copy_only=False)
-                marks = column(part, "mark").to_numpy(zero_copy_only=False)
-                # Texts in the order of their ids, so that the first one of a key has the smallest.
-                place = np.lexsort((marks, ids))
-                rank = np.empty(len(place), dtype=np.int64)
-                rank[place] = np.arange(len(place))
-                text, key, tag = once_a_text(first, at[ok], key[ok], tag[ok])
-                order = np.lexsort((rank[text], tag, key))
-                text, key, tag = text[order], key[order], tag[order]
+                text, place, key, tag = once_a_text(first, at[ok], key[ok], tag[ok])
+                ids, marks = (column(part, c).to_numpy(zero_copy_only=False)[text] for c in ("doc_id", "mark"))
                 head = np.ones(len(text), dtype=bool)
                 head[1:] = (key[1:] != key[:-1]) | (tag[1:] != tag[:-1])
                 lead, rest = np.flatnonzero(head), np.flatnonzero(~head)
                 offsets = np.append(lead - np.arange(len(lead)), len(rest))
-                values = pa.StructArray.from_arrays([pa.array(ids[text[rest]]), pa.array(marks[text[rest]])], fields=list(other))
+                values = pa.StructArray.from_arrays([pa.array(x[rest]) for x in (ids, marks, place)], fields=list(other))
                 lone = np.diff(offsets) == 0
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values, mask=pa.array(lone) if len(lone) else None)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[lead].view(np.int64)), pa.array(tag[lead].view(np.int32)), pa.array(ids[text[lead]]), pa.array(marks[text[lead]]), lists],
-                    names,
-                )
+                # By text, as neighbours with the same id compress well in the shuffle.
+                order = np.lexsort((place[lead], text[lead]))
+                cols = [x[lead[order]] for x in (key.view(np.int64), tag.view(np.int32), ids, marks, place)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in cols), lists.take(pa.array(order))], names)
         del rows
         give_back()
 
-    return docs.mapInArrow(run, "key long, tag int, doc_id long, mark long, others array<struct<doc_id: long, mark: long>>")
+    fields = "doc_id: long, mark: long, place: int"
+    return docs.mapInArrow(run, f"key long, tag int, doc_id long, mark long, place int, others array<struct<{fields}>>")
 
 
 def removals(found: DataFrame) -> DataFrame:
-    """``doc_id``, ``mark``, ``keys``: the windows that a document with a smaller id has."""
+    """``doc_id``, ``mark``, ``places``: one place of each window that a document with a smaller id has."""
     lowest = F.min("doc_id").over(Window.partitionBy("key", "tag"))
     known = found.withColumn("lowest", lowest).where((F.col("doc_id") > F.col("lowest")) | F.col("others").isNotNull())
-    own = F.struct("doc_id", "mark")
+    own = F.struct("doc_id", "mark", "place")
     whose = F.explode(F.when(F.col("others").isNull(), F.array(own)).otherwise(F.array_append("others", own)))
-    later = known.select("key", "tag", "lowest", whose.alias("one")).where(F.col("one.doc_id") > F.col("lowest"))
-    pair = F.struct("key", "tag")
-    return later.groupBy(F.col("one.doc_id").alias("doc_id"), F.col("one.mark").alias("mark")).agg(F.collect_list(pair).alias("keys"))
+    later = known.select("lowest", whose.alias("one")).where(F.col("one.doc_id") > F.col("lowest"))
+    return later.select("one.*").groupBy("doc_id", "mark").agg(F.collect_list("place").alias("places"))
 
 
-def remove_passages(
-    docs: DataFrame, width: int = WIDTH, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``doc_id``, ``n_words``, ``n_removed``, ``text``: the words that stay, joined by one space."""
-    spark = docs.sparkSession
-    plain = texts(docs, id_col, text_col)
-    marked = plain.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
-    sketch = spark.sparkContext.broadcast(frequent_cells(spark, plain, width, bits))
-    gone = removals(candidates(marked, sketch, width, bits))
+def with_hint(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` with ``hit``: false only where ``gone`` has no row for the text. What is broadcast is at most 2^FILTER_BITS bits."""
+    cell = F.pmod(F.xxhash64("doc_id", "mark"), F.lit(1 << FILTER_BITS))
+    numbered = gone.select(cell.alias("cell"))
+    bits = numbered.groupBy(F.bitmap_bucket_number("cell").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits"))
+    asked = docs.withColumn("cell", cell).withColumn("bucket", F.bitmap_bucket_number("cell"))
+    joined_ = asked.join(F.broadcast(bits), "bucket", "left")
+    byte = F.conv(F.hex(F.expr("substring(bits, int(bitmap_bit_position(cell) div 8) + 1, 1)")), 16, 10).cast("int")
+    hit = F.expr("shiftright(byte, int(bitmap_bit_position(cell) % 8)) & 1") == 1
+    return joined_.withColumn("byte", byte).withColumn("hit", F.coalesce(hit, F.lit(False))).select(*docs.columns, "hit")
+
+
+def _finish(rows: DataFrame, width: int) -> DataFrame:
+    """Texts with the ``places`` (or null) of windows to be removed, without them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, size=TEXT_BYTES):
-                words, first, at, key, tag = windows(column(part, "text"), width)
-                lists = column(part, "keys")
-                pairs = lists.flatten()
-                whose = np.repeat(np.arange(len(lists)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
-                lost = np.zeros(len(at), dtype=bool)
-                if len(pairs):
-                    wanted = pairs.field("key").to_numpy(zero_copy_only=False).view(np.uint64), pairs.field("tag").to_numpy(zero_copy_only=False).view(np.uint32)
+                lists = column(part, "places")
+                counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+                stays = None
+                if counts.any():
+                    words, first, at, key, tag = windows(column(part, "text"), width)
+                    whose = np.repeat(np.arange(len(lists)), counts)
+                    asked = np.searchsorted(at, first[whose] + lists.flatten().to_numpy(zero_copy_only=False))
+                    # A window may stand in its text more than once.
                     text = np.searchsorted(first, at, "right") - 1
-                    # Both sides by text, key and tag; a window goes if one of the wanted stands beside it.
-                    both = [np.concatenate(x) for x in ((whose, text), (wanted[0], key), (wanted[1], tag))]
-                    order = np.lexsort(both[::-1])
-                    new = np.zeros(len(order), dtype=bool)
-                    new[1:] = np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in both])
-                    group = np.cumsum(new)
-                    asked = order < len(whose)
-                    hit = np.bincount(group[asked], minlength=int(group[-1]) + 1) > 0
-                    lost[order[~asked & hit[group]] - len(whose)] = True
-                change = np.zeros(len(words) + 1, dtype=np.int64)
-                np.add.at(change, at[lost], 1)
-                np.add.at(change, at[lost] + width, -1)
-                stays = np.cumsum(change)[:-1] == 0
+                    order = np.lexsort((tag, key, text))
+                    new = np.zeros(len(order), dtype=np.int64)
+                    new[1:] = np.logical_or.reduce([x[order][1:] != x[order][:-1] for x in (text, key, tag)])
+                    group = np.empty(len(order), dtype=np.int64)
+                    group[order] = np.cumsum(new)
+                    hit = np.zeros(len(order), dtype=bool)
+                    hit[group[asked]] = True
+                    lost = at[hit[group]]
+                    change = np.bincount(lost, minlength=len(words) + 1) - np.bincount(lost + width, minlength=len(words) + 1)
+                    stays = np.cumsum(change)[:-1] == 0
+                else:
+                    words, first = split(column(part, "text"))
                 sizes = np.diff(first)
-                left = np.diff(np.append(0, np.cumsum(stays))[first])
+                left = sizes if stays is None else np.diff(np.append(0, np.cumsum(stays))[first])
+                text = pa.array(joined(words, first, stays), pa.large_binary()).cast(pa.large_string()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [column(part, "doc_id"), pa.array(sizes, pa.int64()), pa.array(sizes - left, pa.int64()),
-                     pa.array(joined(words, first, stays), pa.large_binary()).cast(pa.large_string()).cast(pa.string())],
+                    [column(part, "doc_id"), pa.array(sizes, pa.int64()), pa.array(sizes - left, pa.int64()), text],
                     ["doc_id", "n_words", "n_removed", "text"],
-                )
+                )
         give_back()
 
-    with_keys = marked.join(gone, ["doc_id", "mark"], "left").select("doc_id", "text", "keys")
-    done = with_keys.mapInArrow(run, "doc_id long, n_words long, n_removed long, text string")
+    return rows.select("doc_id", "text", "places").mapInArrow(run, "doc_id long, n_words long, n_removed long, text string")
+
+
+def remove_passages(
+    docs: DataFrame, width: int = WIDTH, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id``, ``n_words``, ``n_removed``, ``text``: the words that stay, joined by one space."""
+    spark = docs.sparkSession
+    plain = texts(docs, id_col, text_col)
+    marked = plain.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    sketch = spark.sparkContext.broadcast(frequent_cells(spark, plain, width, bits))
+    path = scratch_path(spark, "passages")
+    removals(candidates(marked, sketch, width, bits)).write.option("compression", "zstd").parquet(path)
+    sketch.destroy()
+    gone = spark.read.parquet(path)
+    hinted = with_hint(marked, gone)
+    touched = hinted.where("hit").join(gone, ["doc_id", "mark"], "left")
+    untouched = hinted.where("NOT hit").withColumn("places", F.lit(None).cast("array<int>"))
+    done = _finish(touched, width).unionByName(_finish(untouched, width))
     return done.withColumn("doc_id", F.nullif("doc_id", F.lit(LAST)))

@@ -339,6 +339,22 @@ FROM asked a LEFT JOIN day_list d ON a.dateid = d.dateid LEFT JOIN counted c ON
 FROM asked a LEFT JOIN counted c ON a.dateid = c.dateid""",
             COUNTED,
         ),
+        "k5_damaged_days": with_panel(
+            """SELECT a.dateid, CASE WHEN a.dateid IN (4, 5, 9, 10, 15, 16, 21) THEN 'error'
+                  WHEN c.dateid IS NULL OR a.dateid = 20 THEN 'empty' ELSE 'ok' END AS status,
+  CASE WHEN a.dateid IN (4, 5, 9, 10, 15, 16, 20, 21) THEN 0 ELSE coalesce(c.rows, 0) END AS rows,
+  CASE WHEN a.dateid IN (4, 9) THEN 'raw data cannot be read' WHEN a.dateid = 15 THEN 'raw data lacks columns'
+       WHEN a.dateid IN (5, 10, 16) THEN 'raw data of the previous day cannot be read'
+       WHEN a.dateid = 21 THEN 'no raw data of the previous day' END AS error
+FROM asked a LEFT JOIN counted c ON a.dateid = c.dateid""",
+            COUNTED,
+        ),
+        "k2_resumed_swap": with_panel(
+            """SELECT dateid, CAST(count(*) FILTER (WHERE dateid NOT BETWEEN 2 AND 4 OR v_sum IS NOT NULL) AS BIGINT) AS at_stop,
+  CAST(count(*) FILTER (WHERE dateid NOT BETWEEN 2 AND 9 OR v_sum IS NOT NULL) AS BIGINT) AS rows
+FROM panel GROUP BY dateid"""
+        ),
+        "p4_restated_days": with_panel("SELECT dateid, TRUE AS restated FROM day_list WHERE dateid IN (6, 7)"),
         "o2_output_order": with_panel("SELECT dateid, rows, CAST(0 AS BIGINT) AS out_of_order FROM counted", COUNTED),
         "o3_receipt_order": with_panel("SELECT dateid, row_number() OVER (ORDER BY dateid) AS place FROM counted", COUNTED),
         "f1_half_open_days": with_panel(f"SELECT {ALL} FROM panel WHERE dateid >= 5 AND dateid < 12"),

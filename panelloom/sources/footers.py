@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from panelloom.sources.panel import DAY_FOLDER, day_of_path
 
-AUDIT = "path string, readable boolean, rows bigint, cols bigint"
+AUDIT = "path string, readable boolean, rows bigint, cols bigint, names array<string>"
 
 
-def footer_counts(path: str) -> tuple[bool, int, int]:
-    """Readable, rows, columns. Only a footer that cannot be parsed makes a file unreadable; a store that
+def read_footer(path: str) -> tuple[bool, int, list[str]]:
+    """Readable, rows, names of columns. Only a footer that cannot be parsed makes a file unreadable; a store that
     cannot be reached raises, and Spark tries the task again."""
     filesystem, name = pafs.FileSystem.from_uri(path)
     with filesystem.open_input_file(name) as source:
@@ -28,29 +28,40 @@ def footer_counts(path: str) -> tuple[bool, int, int]:
     # The bytes are here; what fails from now on is their content.
     try:
         footer = pq.read_metadata(pa.BufferReader(tail))
-        return True, footer.num_rows, len(footer.schema.to_arrow_schema().names)
+        return True, footer.num_rows, footer.schema.to_arrow_schema().names
     except (pa.ArrowException, OSError):
-        return False, 0, 0
+        return False, 0, []
+
+
+def footer_counts(path: str) -> tuple[bool, int, int]:
+    """Readable, rows, columns."""
+    readable, rows, names = read_footer(path)
+    return readable, rows, len(names)
 
 
 def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         paths = batch.column(0).to_pylist()
-        found = [footer_counts(p) for p in paths]
+        found = [read_footer(p) for p in paths]
         yield pa.record_batch(
             {
                 "path": pa.array(paths, pa.string()),
                 "readable": pa.array([f[0] for f in found], pa.bool_()),
                 "rows": pa.array([f[1] for f in found], pa.int64()),
-                "cols": pa.array([f[2] for f in found], pa.int64()),
+                "cols": pa.array([len(f[2]) for f in found], pa.int64()),
+                "names": pa.array([f[2] for f in found], pa.list_(pa.string())),
             }
         )
 
 
 def audit_files(
-    spark: SparkSession, folder: str, pattern: str = "*.parquet", days: tuple[int, int] | None = None
+    spark: SparkSession,
+    folder: str,
+    pattern: str = "*.parquet",
+    days: tuple[int, int] | None = None,
+    columns: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per file; a file that is not parquet is reported, not raised.
+    """One row per file; a file that is not parquet is reported, not raised. ``lacking`` counts the ``columns`` it has not.
 
     Only names are listed by Spark; the tasks read footers, and with ``days`` (half-open)
     only those of these days. ``cols`` counts the ``dateid`` that a day folder stands for.
@@ -73,19 +84,22 @@ def audit_files(
         "readable",
         "rows",
         (F.col("cols") + F.when(in_folder, 1).otherwise(0)).alias("cols"),
+        F.size(F.array_except(F.array(*map(F.lit, columns)).cast("array<string>"), "names")).alias("lacking"),
     )
 
 
-def audit_days(files: DataFrame, requested: DataFrame) -> DataFrame:
+def audit_days(files: DataFrame, requested: DataFrame, lacking: bool = False) -> DataFrame:
     """Per requested day: ``exists, readable, rows, cols`` over all its files.
 
-    ``cols`` is that of the narrowest file and ``mixed`` tells whether widths differ.
+    ``cols`` is that of the narrowest file and ``mixed`` tells whether widths differ; with ``lacking`` so
+    many of the columns asked for are not in some file.
     """
     found = files.groupBy("dateid").agg(
         F.bool_and("readable").alias("readable"),
         F.sum("rows").alias("rows"),
         F.min("cols").alias("cols"),
         (F.min("cols") != F.max("cols")).alias("mixed"),
+        F.max("lacking").alias("lacking"),
     )
     joined = requested.join(found, "dateid", "left")
     readable = F.coalesce("readable", F.lit(False))
@@ -96,6 +110,7 @@ def audit_days(files: DataFrame, requested: DataFrame) -> DataFrame:
         F.when(readable, F.col("rows")).otherwise(0).alias("rows"),
         F.when(readable, F.col("cols")).otherwise(0).alias("cols"),
         F.coalesce("mixed", F.lit(False)).alias("mixed"),
+        *([F.when(readable, F.col("lacking")).otherwise(0).alias("lacking")] if lacking else []),
     )
 
 
