@@ -8,7 +8,7 @@ starts in a document with a smaller id. All windows are judged on the input.
    more than once. Slices are merged one after another as they come in; what stays of a merged
    slice is one bit for each cell: hit twice or more. A cell can only be hit too often, so no window
    that occurs in two texts is lost. The rows have a fixed size, which bounds what is
-   broadcast (two rows of 2^28 bits, 64 MB); with more windows the estimate gets looser, more
+   broadcast (two rows of 2^29 bits, 128 MB); with more windows the estimate gets looser, more
    windows go to step 2, and the result stays the same.
 2. Exact grouping. Windows whose cells are hit twice in both rows are grouped by a 96-bit
    key. A chunk of texts gives one row for each key, whatever number of its texts have it, so the key
@@ -39,7 +39,7 @@ from panelloom.llm.words import coded, joined, split
 from panelloom.session import scratch_path
 
 WIDTH = 13
-BITS = 28
+BITS = 29
 ROWS = 2
 SLICE_BITS = 24
 # Windows that a task gathers before it gives out what it has.
