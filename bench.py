@@ -103,7 +103,7 @@ def production_shape(spark: SparkSession) -> dict[str, float]:
     for name, plan in {
         "rank": lambda: xsec_rank(day, names),
         "impute": lambda: causal_impute(day, names),
-        "ewma_30hl": lambda: causal_ewma(day, names, [EwmaSpec(30, "ewma_30hl")]).drop(*names),
+        "ewma_30hl": lambda: causal_ewma(day, names, [EwmaSpec(30, "ewma_30hl")], keep=False),
         "packet_day": lambda: build_packets(raw, names, day_range(spark, 1, 2), largest=STOCK_COUNT),
     }.items():
         runs = []

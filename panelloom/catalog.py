@@ -31,11 +31,12 @@ from panelloom.plans.backfill import build_legacy_range, build_range, build_test
 from panelloom.plans.legacy import build_legacy_packets, with_empty_ts_rank
 from panelloom.plans.packet import build_packets, imputed_averages
 from panelloom.plans.quality import checked_averages, quality_report, rank_stability
-from panelloom.plans.shards import build_raw_shards, in_days
+from panelloom.plans.shards import STOCK_SERIES, bucket_shards, build_raw_shards, in_days
 from panelloom.plans.verify import gate, pending_days, verify_range
-from panelloom.session import pin, scratch_path
+from panelloom.session import partition_count, pin, scratch_path
 from panelloom.sinks.daily import read_days, stored_schema, write_days
 from panelloom.sinks.staged import finish_swap, replace_days
+from panelloom.sources.chunk_counts import stored_all_missing, stored_days, stored_present, stored_rows
 from panelloom.sources.contents import day_folder_of
 from panelloom.sources.events_panel import EventsPanel, event_cells, events_panel
 from panelloom.sources.footers import audit_days, audit_files
@@ -120,6 +121,25 @@ def pruned_read(spark, folder):
     return read_days(spark, path, stored_schema(panel.df), [*KEYS, "v_avg"])
 
 
+def bucketed_average(spark, folder):
+    """The half-life 30 average, read from shards bucketed by stock."""
+    panel = events_panel(spark, folder)
+    path = scratch_path(spark, "buckets")
+    shards = bucket_shards(panel.df, path.rsplit("/", 1)[-1].replace("-", "_"), path, partition_count(panel.df))
+    averaged = causal_ewma(shards, panel.features, [SAME_DAY["ewma_30hl"]], STOCK_SERIES, max_rows=panel.times_per_day)
+    return _shown(averaged.drop(*panel.features))
+
+
+def stored_counts(count) -> Query:
+    """A count over written shards, from their footers."""
+
+    def query(spark, folder):
+        panel, path, _ = _shards(spark, folder)
+        return count(spark, path, panel.features)
+
+    return query
+
+
 def shard_receipt(spark, folder):
     _, _, receipt = _shards(spark, folder)
     folder = F.regexp_extract("output_path", "[^/]*$", 0)
@@ -673,8 +693,8 @@ def wide_averages(spark, folder):
     panel = events_panel(spark, folder)
     raw, features = _wide(panel)
     clean = slice_panel(raw, features)
-    both = causal_ewma(clean, features, [LONG_HISTORY, EwmaSpec(5, "ewma_min2", min_count=2)])
-    return _shown(both.drop(*features, "LabelA"))
+    both = causal_ewma(clean, features, [LONG_HISTORY, EwmaSpec(5, "ewma_min2", min_count=2)], keep=False)
+    return _shown(both.drop("LabelA"))
 
 
 def wide_impute(spark, folder):
@@ -683,6 +703,28 @@ def wide_impute(spark, folder):
     return _shown(causal_impute(slice_panel(raw, features), features).drop("LabelA"))
 
 
+def wide_standardized(large: bool) -> Query:
+    """Sixteen columns; with ``large`` as if no group fitted a task."""
+
+    def query(spark, folder):
+        raw, features = _wide(events_panel(spark, folder))
+        clean = slice_panel(raw, features).drop("LabelA")
+        return _snapped(standardize(clean, features, largest=1 << 40 if large else None), features)
+
+    return query
+
+
+def wide_winsorized(spark, folder):
+    raw, features = _wide(events_panel(spark, folder))
+    return _snapped(winsorize(slice_panel(raw, features).drop("LabelA"), features, 0.1, 0.9), features)
+
+
+def wide_quantiles(spark, folder):
+    raw, features = _wide(events_panel(spark, folder))
+    found = quantiles(slice_panel(raw, features), features, [0.25, 0.5, 0.75])
+    return _snapped(found, [c for c in found.columns if c not in CROSS_SECTION])
+
+
 def legacy_range(spark, folder):
     """Receipt of the legacy packets of all days."""
     panel, shards, _ = _shards(spark, folder)
@@ -771,6 +813,15 @@ QUERIES: dict[str, Query] = {
     "w11_lost_weights_vector": cell_rank("vector", weighted=True, lost=True),
     "w11_lost_weights_slices": cell_rank("slices", weighted=True, lost=True),
     "w11_lost_weights_split": cell_rank("split", weighted=True, lost=True),
+    "k1_bucketed_shards": bucketed_average,
+    "a1_stored_rows": stored_counts(lambda spark, path, features: stored_rows(spark, path)),
+    "a3_stored_days": stored_counts(lambda spark, path, features: stored_days(spark, path)),
+    "a5_stored_missing": stored_counts(stored_all_missing),
+    "a6_stored_present": stored_counts(stored_present),
+    "w12_wide_standardize": wide_standardized(large=False),
+    "w12_wide_large_groups": wide_standardized(large=True),
+    "w13_wide_winsorize": wide_winsorized,
+    "w13_wide_quantiles": wide_quantiles,
     "o2_output_order": output_order,
     "o3_receipt_order": receipt_order,
     "m5_close_to_whole": rounded_values_close,

@@ -56,8 +56,9 @@ def causal_ewma(
     max_rows: int | None = None,
     adjust: bool = True,
     bits: int | None = None,
+    keep: bool = True,
 ) -> DataFrame:
-    """Add ``{column}_{suffix}`` for every column and spec.
+    """Add ``{column}_{suffix}`` for every column and spec; without ``keep`` in place of the columns themselves.
 
     ``max_rows`` is a bound on the rows of one series that the caller can vouch for, e.g. from
     the time range of the reader; by default the longest series is counted.
@@ -66,10 +67,11 @@ def causal_ewma(
     if len(columns) > NARROW and fits_one_task(len(columns), len(specs), max_rows):
         names = [[f"{c}_{s.suffix}" for c in columns] for s in specs]
         lives, least = [s.half_life for s in specs], [s.min_count for s in specs]
-        return average_columns(df, columns, lives, least, names, series, order, adjust, bits)
+        return average_columns(df, columns, lives, least, names, series, order, adjust, bits, keep=keep)
     if not all(fits_one_window(s.half_life, max_rows) for s in specs):
         out = long_ewma(df, columns, specs, series, order, adjust=adjust)
-        return out.withColumns({n: settle(F.col(n), bits) for s in specs for n in (f"{c}_{s.suffix}" for c in columns)})
+        out = out.withColumns({n: settle(F.col(n), bits) for s in specs for n in (f"{c}_{s.suffix}" for c in columns)})
+        return out if keep else out.drop(*columns)
 
     ordered = Window.partitionBy(*series).orderBy(*order)
     running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -98,7 +100,7 @@ def causal_ewma(
         return F.when(F.count(value).over(running) >= spec.min_count, total / norm)
 
     added = {f"{c}_{s.suffix}": average(c, s) for s in specs for c in columns}
-    made = framed.withColumns(added).drop(*helpers)
+    made = framed.withColumns(added).drop(*helpers, *([] if keep else columns))
     return made if bits is None else made.withColumns({n: settle(F.col(n), bits) for n in added})
 
 

@@ -200,9 +200,9 @@ def xsec_rank(
         largest = largest_group(df, by) if largest is None else largest
         return _sliced_rank(df, columns, by, names, weight, max(1, VECTOR_BYTES // (8 * max(1, largest))))
 
+    if engine == "vector":
+        return vector.rank_columns(df, columns, by, names, weight, placed)
     if not placed:
         df = spread(df, *by)
-    if engine == "vector":
-        return vector.rank_columns(df, columns, by, names, weight)
     own = None if weight is None else row_weight(weight)
     return df.select(*ids, *(rank_over(F.col(c), by, own).alias(names[c]) for c in columns))

@@ -210,6 +210,29 @@ def standardized() -> str:
     return with_panel(f"SELECT {KEYS}, {each(f'{one} AS @')} FROM panel")
 
 
+def wide_standardized() -> str:
+    """Scaling by a power of two leaves the standardised values as they are."""
+    by = "OVER (PARTITION BY dateid, timeid)"
+    one = snap(f"(@ - avg(@) {by}) / nullif(stddev_samp(@) {by}, 0)")
+    scaled = ", ".join(f"{f} AS {f}{s}" for s in FACTORS for f in FEATURES)
+    return with_panel(f"SELECT {KEYS}, {scaled} FROM (SELECT {KEYS}, {each(f'{one} AS @')} FROM panel)")
+
+
+def wide_winsorized() -> str:
+    one = "least(greatest(@, quantile_cont(@, 0.1) OVER g), quantile_cont(@, 0.9) OVER g)"
+    clipped = each(f"CASE WHEN @ IS NOT NULL THEN {one} END AS @")
+    scaled = ", ".join(f"{snap(f'{f} * {k!r}e0')} AS {f}{s}" for s, k in FACTORS.items() for f in FEATURES)
+    return with_panel(f"SELECT {KEYS}, {scaled} FROM (SELECT {KEYS}, {clipped} FROM panel WINDOW g AS (PARTITION BY dateid, timeid))")
+
+
+def wide_quantiles() -> str:
+    found = ", ".join(
+        f"{snap(f'quantile_cont({f}, {p}) * {k!r}e0')} AS {f}{s}_q{i}"
+        for s, k in FACTORS.items() for f in FEATURES for i, p in enumerate([0.25, 0.5, 0.75])
+    )
+    return with_panel(f"SELECT dateid, timeid, {found} FROM panel GROUP BY dateid, timeid")
+
+
 def quantile_list(probabilities) -> str:
     return ", ".join(
         f"{snap(f'quantile_cont({f}, {p})')} AS {f}_q{i}" for f in FEATURES for i, p in enumerate(probabilities)
@@ -355,6 +378,22 @@ FROM asked a LEFT JOIN counted c ON a.dateid = c.dateid""",
 FROM panel GROUP BY dateid"""
         ),
         "p4_restated_days": with_panel("SELECT dateid, TRUE AS restated FROM day_list WHERE dateid IN (6, 7)"),
+        "k1_bucketed_shards": same_day_ewma(SAME[1]),
+        "a1_stored_rows": with_panel("SELECT dateid, rows FROM counted", COUNTED),
+        "a3_stored_days": with_panel(
+            "SELECT CAST(count(DISTINCT dateid) AS BIGINT) AS days, CAST(count(*) AS BIGINT) AS rows FROM panel"
+        ),
+        "a5_stored_missing": with_panel(flags(f"'{f}' AS feature, count({f}) = 0 AS all_missing FROM panel" for f in FEATURES)),
+        "a6_stored_present": with_panel(
+            flags(
+                f"dateid, '{f}' AS feature, CAST(count(*) AS BIGINT) AS rows, CAST(count({f}) AS BIGINT) AS present FROM panel GROUP BY dateid"
+                for f in FEATURES
+            )
+        ),
+        "w12_wide_standardize": wide_standardized(),
+        "w12_wide_large_groups": wide_standardized(),
+        "w13_wide_winsorize": wide_winsorized(),
+        "w13_wide_quantiles": wide_quantiles(),
         "o2_output_order": with_panel("SELECT dateid, rows, CAST(0 AS BIGINT) AS out_of_order FROM counted", COUNTED),
         "o3_receipt_order": with_panel("SELECT dateid, row_number() OVER (ORDER BY dateid) AS place FROM counted", COUNTED),
         "f1_half_open_days": with_panel(f"SELECT {ALL} FROM panel WHERE dateid >= 5 AND dateid < 12"),

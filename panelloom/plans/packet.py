@@ -25,7 +25,7 @@ from panelloom.operators.rank import NARROW, choose_engine, largest_group, xsec_
 from panelloom.operators.vector import (
     decayed_means,
     pack,
-    rank_packed,
+    rank_wide,
     settle_matrix,
     to_lists,
     to_matrix,
@@ -224,8 +224,7 @@ def build_packets(
         averaged = packed_averages(raw, features, targets, specs, impute_half_life, bits, day_block)
         placed = spread(averaged.withColumn("_slot", slot), "dateid", "_slot")
         if engine == "vector":
-            ranked = rank_packed(placed, group, "_x")
-            return ranked.select(*KEYS, *labels, *unpack("_x", list(sources.values())))
+            return rank_wide(placed, group, "_x", list(sources.values()), kept=[*KEYS, *labels])
         placed = placed.select(*KEYS, *labels, "_slot", *unpack("_x", list(sources)))
     else:
         averaged = imputed_averages(

@@ -80,22 +80,22 @@ def estimated_bytes(plan) -> int:
     return inputs[0] * own // max(1, before)
 
 
-def partition_count(df: DataFrame) -> int:
-    """Partitions for a main shuffle of ``df``: its estimated bytes, and at least
+def partition_count(df: DataFrame, task_bytes: int = TASK_BYTES) -> int:
+    """Partitions for a main shuffle of ``df``: one for each ``task_bytes`` estimated, and at least
     ``spark.sql.shuffle.partitions``. Where there is no estimate the setting stands alone."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = estimated_bytes(df._jdf.queryExecution().optimizedPlan())
-    return least if size >= 1 << 60 else max(least, -(-size // TASK_BYTES))
+    return least if size >= 1 << 60 else max(least, -(-size // task_bytes))
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str, task_bytes: int = TASK_BYTES) -> DataFrame:
     """Shuffle by ``keys`` into as many partitions as the input's size asks for.
 
     Adaptive execution merges partitions by their compressed size. Sparse panels
     compress so well that the work on them would end up in a handful of tasks, so the
     count is fixed here, but from the data.
     """
-    return df.repartition(partition_count(df), *keys)
+    return df.repartition(partition_count(df, task_bytes), *keys)
 
 
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:

@@ -15,9 +15,8 @@ from panelloom.sources.panel import DAY_FOLDER, day_of_path
 AUDIT = "path string, readable boolean, rows bigint, cols bigint, names array<string>"
 
 
-def read_footer(path: str) -> tuple[bool, int, list[str]]:
-    """Readable, rows, names of columns. Only a footer that cannot be parsed makes a file unreadable; a store that
-    cannot be reached raises, and Spark tries the task again."""
+def parsed_footer(path: str) -> pq.FileMetaData | None:
+    """The footer, or None if it cannot be parsed. A store that cannot be reached raises, and Spark tries the task again."""
     filesystem, name = pafs.FileSystem.from_uri(path)
     with filesystem.open_input_file(name) as source:
         size = source.size()
@@ -27,10 +26,17 @@ def read_footer(path: str) -> tuple[bool, int, list[str]]:
         tail = source.read()
     # The bytes are here; what fails from now on is their content.
     try:
-        footer = pq.read_metadata(pa.BufferReader(tail))
-        return True, footer.num_rows, footer.schema.to_arrow_schema().names
+        return pq.read_metadata(pa.BufferReader(tail))
     except (pa.ArrowException, OSError):
+        return None
+
+
+def read_footer(path: str) -> tuple[bool, int, list[str]]:
+    """Readable, rows, names of columns."""
+    footer = parsed_footer(path)
+    if footer is None:
         return False, 0, []
+    return True, footer.num_rows, footer.schema.to_arrow_schema().names
 
 
 def footer_counts(path: str) -> tuple[bool, int, int]:
@@ -54,6 +60,21 @@ def _read_footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+def day_files(spark: SparkSession, folder: str, pattern: str = "*.parquet", days: tuple[int, int] | None = None) -> DataFrame:
+    """``path`` of every file, of half-open ``days`` only if given. Names are listed, nothing is opened."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", pattern)
+        .load(folder)
+        .select("path")
+    )
+    if days is None:
+        return files
+    day = day_of_path(F.col("path"))
+    return files.where((day >= days[0]) & (day < days[1]))
+
+
 def audit_files(
     spark: SparkSession,
     folder: str,
@@ -66,17 +87,7 @@ def audit_files(
     Only names are listed by Spark; the tasks read footers, and with ``days`` (half-open)
     only those of these days. ``cols`` counts the ``dateid`` that a day folder stands for.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(folder)
-        .select("path")
-    )
-    if days is not None:
-        day = day_of_path(F.col("path"))
-        files = files.where((day >= days[0]) & (day < days[1]))
-    found = files.mapInArrow(_read_footers, AUDIT)
+    found = day_files(spark, folder, pattern, days).mapInArrow(_read_footers, AUDIT)
     in_folder = (F.regexp_extract("path", DAY_FOLDER, 1) != "") & F.col("readable")
     return found.select(
         day_of_path(F.col("path")).alias("dateid"),
