@@ -62,8 +62,12 @@ def pin(df: DataFrame) -> DataFrame:
 TASK_BYTES = 128 * 1024 * 1024
 
 
-def estimated_bytes(plan) -> int:
-    """Bytes of a logical plan's result by the optimizer's estimates, but for joins.
+# Estimates from here on stand for a size that is not known.
+UNKNOWN_BYTES = 1 << 50
+
+
+def estimated_bytes(plan) -> int | None:
+    """Bytes of a logical plan's result by the optimizer's estimates, but for joins; None if some input tells no size.
 
     Without statistics the optimizer multiplies the sides of a join. The joins of this package look
     up one row for each of the larger side's, so the sum of both sides is the better guess.
@@ -72,8 +76,10 @@ def estimated_bytes(plan) -> int:
     parts = [children.apply(i) for i in range(children.size())]
     own = int(plan.stats().sizeInBytes())
     if not parts:
-        return own
+        return own if own < UNKNOWN_BYTES else None
     inputs = [estimated_bytes(p) for p in parts]
+    if None in inputs:
+        return None
     if len(parts) > 1:
         return sum(inputs)
     before = int(parts[0].stats().sizeInBytes())
@@ -85,7 +91,7 @@ def partition_count(df: DataFrame, task_bytes: int = TASK_BYTES) -> int:
     ``spark.sql.shuffle.partitions``. Where there is no estimate the setting stands alone."""
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = estimated_bytes(df._jdf.queryExecution().optimizedPlan())
-    return least if size >= 1 << 60 else max(least, -(-size // task_bytes))
+    return least if size is None else max(least, -(-size // task_bytes))
 
 
 def spread(df: DataFrame, *keys: str, task_bytes: int = TASK_BYTES) -> DataFrame:
