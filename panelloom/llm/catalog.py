@@ -138,7 +138,8 @@ def rules_sql() -> str:
         "short_words": "-word_chars / greatest(n_words, 1)",
     }
     measured = " UNION ALL ".join(f"SELECT id, stratum, base_failed, '{r}' AS rule, {v} AS value FROM judged" for r, v in value.items())
-    log_p, log_q = math.log(rules.ALPHA), math.log1p(-rules.ALPHA)
+    reach = lambda alpha, strata: f"n * {math.log1p(-alpha)!r}e0 <= ln({rules.DELTA} / ({strata} * {len(rules.CUTOFFS)}))"
+    chosen = " ".join(f"WHEN {reach(a, '(SELECT count(*) FROM pools)')} THEN {a!r}e0" for a in rules.ALPHAS)
     return f"""
         WITH texts AS (
             SELECT row_number() OVER () AS id, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS text FROM documents
@@ -177,14 +178,24 @@ def rules_sql() -> str:
             FROM measured m JOIN judged j ON j.id = m.id JOIN good g ON g.doc_id = j.doc_id JOIN tests t ON t.rule = m.rule
             WHERE NOT m.base_failed GROUP BY m.stratum, t.rule, t.step, t.cut
         ),
+        members AS (
+            SELECT stratum, CASE WHEN {reach(rules.ALPHAS[-1], "(SELECT count(DISTINCT stratum) FROM tried)")} THEN 'own ' || stratum ELSE 'pooled' END AS pool
+            FROM tried GROUP BY stratum, n
+        ),
+        together AS (
+            SELECT pool, rule, step, cut, sum(n) AS n, sum(k) AS k FROM tried JOIN members USING (stratum) GROUP BY pool, rule, step, cut
+        ),
+        pools AS (SELECT DISTINCT pool FROM members),
+        levelled AS (SELECT *, CASE {chosen} END AS alpha FROM together),
         passed AS (
-            SELECT *, list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
-                       + i * {log_p!r} + (n - i) * {log_q!r})))
-                   <= {rules.DELTA} / ((SELECT count(DISTINCT stratum) FROM tried) * {len(rules.CUTOFFS)}) AS ok
-            FROM tried
+            SELECT *, list_sum(list_transform(range(0, CAST(k + 1 AS BIGINT)), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1)
+                       + i * ln(alpha) + (n - i) * ln(1 - alpha))))
+                   <= {rules.DELTA} / ((SELECT count(*) FROM pools) * {len(rules.CUTOFFS)}) AS ok
+            FROM levelled WHERE alpha IS NOT NULL
         ),
-        safe AS (SELECT *, bool_and(ok) OVER (PARTITION BY stratum, rule ORDER BY step) AS still FROM passed),
-        cutoffs AS (SELECT stratum, rule, arg_max(cut, step) AS cut FROM safe WHERE still GROUP BY stratum, rule),
+        safe AS (SELECT *, bool_and(ok) OVER (PARTITION BY pool, rule ORDER BY step) AS still FROM passed),
+        last AS (SELECT pool, rule, arg_max(cut, step) AS cut FROM safe WHERE still GROUP BY pool, rule),
+        cutoffs AS (SELECT stratum, rule, cut FROM last JOIN members USING (pool)),
         beyond AS (
             SELECT DISTINCT m.id FROM measured m JOIN cutoffs c ON c.stratum = m.stratum AND c.rule = m.rule WHERE m.value > c.cut
         )

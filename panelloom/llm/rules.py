@@ -5,13 +5,19 @@ repeated eight-word windows), two fixed base rules are applied, and further rule
 text whose measure lies beyond a cutoff. The cutoffs come from labelled documents held out
 for that: within a stratum (``lang``), going from the most lenient cutoff of a rule to the
 strictest, a cutoff is taken as long as the exact binomial probability of seeing so few
-rejected good documents, if the true rate of false rejection were ``ALPHA`` per rule, stays
+rejected good documents, if the true rate of false rejection were alpha per rule, stays
 at or below ``DELTA`` divided by the number of strata and rules. The walk stops at the first
 cutoff that fails, so the steps of a walk need no correction of their own (fixed-sequence
 testing), and the bound over strata and rules is Bonferroni's: with probability 1 - DELTA no
-rule rejects more than ALPHA of the good documents of any stratum, and all rules together no
-more than ALPHA times their number. Strata with few labels pass no test; there only the base
-rules reject.
+rule rejects more than alpha of the good documents of any stratum, and all rules together no
+more than alpha times their number.
+
+Alpha is the smallest of ``ALPHAS`` that the number of a stratum's labels could ever pass: a test with
+no rejected document at all needs log(DELTA / tests) / log(1 - alpha) labelled good documents, with
+four strata and five rules 1,495 for 0.004, 597 for 0.01, 297 for 0.02 and 117 for 0.05. The choice sees
+the number of labels only, so the bound stays exact. Strata with fewer labels than the last one
+needs are tested together, as one stratum, and the bound holds for them together; if that is not
+enough either, or a stratum has no label at all, only the base rules reject there.
 
 Windows of eight words are compared by a 64-bit hash within one text: two different windows
 of a text of n words are taken for one with a probability below n^2 / 2^65.
@@ -25,6 +31,7 @@ an empty table, no cutoff exists. Extra columns pass through ``keep`` untouched.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,6 +43,8 @@ WINDOW = 8
 MIN_WORDS = 20  # fixed values of the base rules
 MAX_REPEAT_PERCENT = 30
 ALPHA = 0.004
+ALPHAS = (ALPHA, 0.01, 0.02, 0.05)
+TERMS = 10_000  # of a tail probability are summed one by one
 DELTA = 0.05
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -118,10 +127,43 @@ def measures(counts: Column) -> dict[str, Column]:
     }
 
 
-def at_most(k: Column, n: Column, rate: float) -> Column:
-    """P(Bin(n, rate) <= k), summed from the logarithms of its terms."""
-    log_odds = math.log(rate) - math.log1p(-rate)
-    start = F.struct((n * math.log1p(-rate)).alias("term"), (n * math.log1p(-rate)).alias("total"))
+def _log_factorial(n: Column) -> Column:
+    """Stirling's series, for numbers beyond ``TERMS``."""
+    return (n + 0.5) * F.log(n) - n + 0.5 * math.log(2 * math.pi) + 1 / (12.0 * n)
+
+
+def _tail_of_many(k: Column, n: Column, rate: Column) -> Column:
+    """An upper bound of P(Bin(n, rate) <= k) for large k, a few millionths too high at most.
+
+    At or above the mean it is one: such a test has failed anyway. Below it, terms shrink downwards from k, each step
+    by a smaller factor than the one before; ``TERMS`` of them are summed, and the rest is bounded by a geometric series.
+    """
+    odds = (1 - rate) / rate
+    factor = lambda i: i / (n - i + 1) * odds
+    first = _log_factorial(n) - _log_factorial(k) - _log_factorial(n - k) + k * F.log(rate) + (n - k) * F.log1p(-rate)
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+
+    def step(state: Column, i: Column) -> Column:
+        term = state["term"] * factor(k - i)
+        return F.struct(term.alias("term"), (state["total"] + term).alias("total"))
+
+    def finish(state: Column) -> Column:
+        last = factor(k - TERMS)
+        return state["total"] + state["term"] * last / (1 - last)
+
+    summed = F.aggregate(F.sequence(F.lit(0).cast("long"), F.lit(TERMS - 1).cast("long")), start, step, finish)
+    return F.when(k >= n * rate, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.exp(first) * summed * (1 + 1e-5)))
+
+
+def at_most(k: Column, n: Column, rate: float | Column) -> Column:
+    """P(Bin(n, rate) <= k), summed from the logarithms of its terms; for k beyond ``TERMS`` an upper bound of it."""
+    rate = F.lit(rate) if isinstance(rate, float) else rate
+    return F.when(k > TERMS, _tail_of_many(k, n, rate)).otherwise(_tail_of_few(F.least(k, F.lit(TERMS)), n, rate))
+
+
+def _tail_of_few(k: Column, n: Column, rate: Column) -> Column:
+    log_odds = F.log(rate) - F.log1p(-rate)
+    start = F.struct((n * F.log1p(-rate)).alias("term"), (n * F.log1p(-rate)).alias("total"))
 
     def step(state: Column, i: Column) -> Column:
         term = state["term"] + F.log((n - i + 1) / i) + log_odds
@@ -132,7 +174,7 @@ def at_most(k: Column, n: Column, rate: float) -> Column:
     return F.least(F.lit(1.0), F.exp(F.aggregate(steps, start, step, lambda s: s["total"])))
 
 
-def choose_cutoffs(good: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
+def choose_cutoffs(good: DataFrame, alphas: Sequence[float] = ALPHAS, delta: float = DELTA) -> DataFrame:
     """``stratum``, ``cutoffs`` (a map from rule to cutoff) from the ``stratum`` and ``counts`` of good documents.
 
     One row per stratum: counts of rejected documents are pre-aggregated, nothing else is shuffled.
@@ -141,24 +183,36 @@ def choose_cutoffs(good: DataFrame, alpha: float = ALPHA, delta: float = DELTA)
     tests = [(rule, step, cut) for rule, cuts in CUTOFFS.items() for step, cut in enumerate(cuts)]
     # Documents that a base rule rejects anyway do not count against a cutoff.
     counted = good.where(~F.col("counts")["base_failed"]).groupBy("stratum")
-    rejected = pin(
+    by_stratum = pin(
         counted.agg(
             F.count(F.lit(1)).alias("n"),
             *[F.count_if(value[rule] > cut).alias(f"r{i}") for i, (rule, _, cut) in enumerate(tests)],
         )
     )
+
+    def reachable(alpha: float, strata: int) -> Column:
+        """Whether n labels could pass a test: without any rejected document."""
+        return F.col("n") * math.log1p(-alpha) <= math.log(delta / (max(1, strata) * len(CUTOFFS)))
+
+    own = F.when(reachable(alphas[-1], by_stratum.count()), F.col("stratum"))  # null: tested together
+    pooled = by_stratum.withColumn("pool", own)
+    rejected = pin(pooled.groupBy("pool").agg(*[F.sum(c).alias(c) for c in ("n", *(f"r{i}" for i in range(len(tests))))]))
+    strata = rejected.count()
+    alpha = F.coalesce(*[F.when(reachable(a, strata), F.lit(a)) for a in alphas])
     rows = F.array(
         *[
             F.struct(F.lit(rule).alias("rule"), F.lit(step).alias("step"), F.lit(cut).alias("cut"), F.col(f"r{i}").alias("k"))
             for i, (rule, step, cut) in enumerate(tests)
         ]
     )
-    long = rejected.select("stratum", "n", F.inline(rows))
-    passed = at_most(F.col("k"), F.col("n"), alpha) <= F.lit(delta) / (max(1, rejected.count()) * len(CUTOFFS))
-    walk = Window.partitionBy("stratum", "rule").orderBy("step")
+    long = rejected.withColumn("alpha", alpha).where("alpha IS NOT NULL").select("pool", "n", "alpha", F.inline(rows))
+    passed = at_most(F.col("k"), F.col("n"), F.col("alpha")) <= F.lit(delta) / (max(1, strata) * len(CUTOFFS))
+    walk = Window.partitionBy("pool", "rule").orderBy("step")
     safe = long.withColumn("safe", F.min(passed).over(walk)).where("safe")
-    last = safe.groupBy("stratum", "rule").agg(F.max_by("cut", "step").alias("cut"))
-    return last.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cut"))).alias("cutoffs"))
+    last = safe.groupBy("pool", "rule").agg(F.max_by("cut", "step").alias("cut"))
+    found = last.groupBy("pool").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cut"))).alias("cutoffs"))
+    members = pooled.select("stratum", F.col("pool").alias("_pool"))
+    return members.join(found, members["_pool"].eqNullSafe(found["pool"])).select("stratum", "cutoffs")
 
 
 def good_documents(labels: DataFrame) -> DataFrame:

@@ -252,3 +252,48 @@ def test_packing_whole_tables(spark):
     for r in packed:
         total[r["doc_id"]] += r["n_words"]
     assert dict(total) == words and len({r["shard"] for r in packed}) > 1
+
+
+def test_tail_of_very_many_rejected_documents(spark):
+    """No array as long as the number of documents, and an upper bound, close where a sum can be made."""
+    cases = [(3_000_000_000, 10**12), (20_000, 6_000_000), (10_001, 2_600_000), (3_900_000, 10**9), (50_000, 10_000_000)]
+    df = spark.createDataFrame(cases, "k long, n long").select("k", "n", rules.at_most(F.col("k"), F.col("n"), 0.004).alias("p"))
+    found = {(r["k"], r["n"]): r["p"] for r in df.collect()}
+    assert found[3_000_000_000, 10**12] == 0.0 and found[50_000, 10_000_000] == 1.0 and 0 <= found[3_900_000, 10**9] < 1e-200
+    for k, n in ((20_000, 6_000_000), (10_001, 2_600_000)):
+        assert binomial_at_most(k, n, 0.004) <= found[k, n] <= 1.001 * binomial_at_most(k, n, 0.004) + 1e-300
+
+
+def test_small_strata_are_tested_at_a_looser_rate_or_together(spark):
+    """The rate follows from the number of labels alone; strata below the loosest one's need share a test."""
+    sizes = {"many": 1500, "some": 320, "few": 70, "fewer": 60, "none": 0}
+    rows = [(s, i) for s, n in sizes.items() for i in range(n)]
+    zero = F.lit(0).cast("long")
+    counts = F.struct(
+        F.lit(100).cast("long").alias("n_words"), F.lit(500).cast("long").alias("word_chars"),
+        F.when(F.col("i") == 0, 60).otherwise(0).cast("long").alias("n_symbols"), zero.alias("n_dup_lines"),
+        zero.alias("n_repeat_words"), F.lit(9).cast("long").alias("n_lines"), F.lit(False).alias("base_failed"),
+    )
+    good = spark.createDataFrame(rows, "stratum string, i int").select("stratum", counts.alias("counts"))
+    found = {r["stratum"]: r["cutoffs"] for r in rules.choose_cutoffs(good).collect()}
+    assert set(found) == {"many", "some", "few", "fewer"}
+    assert found["few"] == found["fewer"]
+
+    def strictest(n, k):
+        level = rules.DELTA / (3 * len(rules.CUTOFFS))
+        alpha = next(a for a in rules.ALPHAS if (1 - a) ** n <= level)
+        cut = None
+        for cut_ in rules.CUTOFFS["signs_per_word"]:
+            if binomial_at_most(k if cut_ < 0.6 else 0, n, alpha) > level:
+                break
+            cut = cut_
+        return cut
+
+    for stratum, n, k in (("many", 1500, 1), ("some", 320, 1), ("few", 130, 2)):
+        assert found[stratum]["signs_per_word"] == strictest(n, k)
+        assert found[stratum]["repeated_lines"] == rules.CUTOFFS["repeated_lines"][-1]
+
+
+def test_the_learned_rules_decide_on_a_small_table(spark):
+    got = QUERIES["op7_quality_rules"](spark, "/root/testdata/sf0.01")
+    assert got.where("NOT kept AND NOT base_failed").count() > 0
