@@ -43,10 +43,11 @@ BITS = 29
 ROWS = 2
 SLICE_BITS = 24
 # Windows that a task gathers before it gives out what it has.
-FLUSH = 4 << 20
-TEXT_BYTES = 4 << 20
+FLUSH = 3 << 20
+TEXT_BYTES = 2 << 20
 LAST = (1 << 63) - 1  # stands for a null id
 FILTER_BITS = 26
+BATCH_ROWS = 500
 MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -301,7 +302,8 @@ def remove_passages(
     marked = plain.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
     sketch = spark.sparkContext.broadcast(frequent_cells(spark, plain, width, bits))
     path = scratch_path(spark, "passages")
-    removals(candidates(marked, sketch, width, bits)).write.option("compression", "zstd").parquet(path)
+    with arrow_rows(spark, BATCH_ROWS):
+        removals(candidates(marked, sketch, width, bits)).write.option("compression", "zstd").parquet(path)
     sketch.destroy()
     gone = spark.read.parquet(path)
     hinted = with_hint(marked, gone)
