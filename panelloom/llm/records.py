@@ -11,21 +11,27 @@ A record file is a run of frames, in ascending document order across the files:
 A mask keeps a checksum of data that holds checksums from being weak: it rotates the
 checksum by 15 bits and adds a constant. Ids take two bytes where the vocabulary allows.
 
+Texts are encoded in the tasks that read them, and only frames are shuffled. Documents are dealt to
+files by their id, then the text's first ``HEAD_CHARS`` characters and hash, then the row, at bounds that give every file about the same
+bytes of text: neither very long texts nor an id that many rows share make a large file, which
+matters as a file is read back whole. The bounds come from a sample weighted by length, of at
+most ``2 * SAMPLED`` rows a file expected.
+
 Files are written and read by Spark's own sinks and sources (``text`` of raw bytes, then
 ``binaryFile``), so they live wherever Spark can write, and its commit protocol drops what a
 lost task left. The index (file, offset, length, document id, number of ids) is made by one
 pass over the written frames, checks every checksum, and is what a shuffled reader takes.
 
-A null or empty text is a sequence of the end id alone. Rows with equal ids are ordered by
-their text and kept one by one; a null id comes first and returns as null. An empty table
+A null or empty text is a sequence of the end id alone. Rows with equal ids are ordered by the
+first ``HEAD_CHARS`` characters of their text, then by its hash, and kept one by one; a null id comes first and returns as null. An empty table
 gives files without frames and an empty index. Extra columns are not read.
 """
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import compress
 
@@ -40,12 +46,14 @@ from panelloom.session import scratch_path
 
 MASK_DELTA = 0xA282EAD8  # fixed value of the masking rule
 HEAD, META, TAIL = "<QI", "<?qB", "<Ic"
-PLAIN = re.compile("[a-zß-öø-ÿ]+")
+PLAIN = "^[a-zß-öø-ÿ]+$"
 LATIN_1_LEAD = 0xC3  # first byte of the letters of the Latin-1 block; capitals have 20 (hex) less in the second
 SIGN, LETTER, DIGIT, WHITE, APOSTROPHE, OTHER = 0, 1, 2, 3, 4, 5
 ENCODE_BYTES = 3 << 20
 BATCH_ROWS = 500
-FILE_ROWS = 5_000
+FILE_BYTES = 16 << 20  # of text; frames are smaller
+SAMPLED = 20  # rows sampled for each file
+HEAD_CHARS = 32
 
 
 def masked(data: bytes) -> int:
@@ -138,9 +146,10 @@ class WordEncoder:
         words = pa.LargeStringArray.from_buffers(len(begins), pa.py_buffer(np.append(begins, len(kept))), pa.py_buffer(kept))
         return words, np.searchsorted(begins, np.r_[0, np.cumsum(sizes)])
 
-    def word_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def word_ids(self, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after another, and where each word begins among them."""
-        kind = np.array([2 if not PLAIN.fullmatch(w) else not w.isascii() for w in words], dtype=np.int8)
+        plain, ascii_ = (x.to_numpy(zero_copy_only=False) for x in (pc.match_substring_regex(array, PLAIN), pc.string_is_ascii(array)))
+        kind, words = np.where(plain, np.where(ascii_, 0, 1), 2).astype(np.int8), array.to_pylist()
         sizes, runs = np.zeros(len(words), dtype=np.int64), []
         for k, tokenizer in enumerate((self.ascii, self.plain)):
             some = list(compress(words, (kind == k).tolist()))
@@ -167,19 +176,36 @@ class WordEncoder:
             whole |= pc.match_substring(array, mark).to_numpy(zero_copy_only=False)
         words, first = self.words(pc.if_else(pa.array(whole), "", array) if whole.any() else array)
         coded = words.dictionary_encode()
-        ids, begins = self.word_ids(coded.dictionary.to_pylist())
-        codes = coded.indices.to_numpy(zero_copy_only=False)
-        sizes = np.diff(begins)[codes]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = ids[np.arange(total) + np.repeat(begins[codes] - (ends - sizes), sizes)]
-        bounds = np.r_[0, ends][first]
+        ids, begins = self.word_ids(coded.dictionary)
+        lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids)).take(coded.indices)
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        bounds = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64))[first]
         out = [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
         for i in np.flatnonzero(whole).tolist():
             out[i] = np.array(self.full.encode(array[i].as_py(), add_special_tokens=False).ids, dtype=np.int32)
         return out
 
 
+Key = tuple[int, str, int, int]
+
+
+def file_bounds(rows: DataFrame, file_bytes: int) -> list[Key]:
+    """The first ``doc_id, head, mark, row`` of every file but the first, by ``size``."""
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    files = max(1, -(-total // file_bytes))
+    if files == 1:
+        return []
+    step = total / (SAMPLED * files)  # bytes that a sampled row stands for; a longer row is always taken
+    chance = F.pmod(F.xxhash64(F.lit("files"), "row", "mark"), F.lit(1 << 30)) < F.col("size") / F.lit(step) * F.lit(1 << 30)
+    sample = sorted((r["doc_id"], r["head"], r["mark"], r["row"], max(float(r["size"]), step)) for r in rows.where(chance).collect())
+    share, upto, bounds = sum(r[4] for r in sample) / files, 0.0, []
+    for doc_id, head, mark, row, size in sample:
+        if upto + size > share * (len(bounds) + 1) and upto:
+            bounds.append((doc_id, head, mark, row))
+        upto += size
+    return bounds
+
+
 def write_records(
     docs: DataFrame,
     definition: str,
@@ -187,34 +213,41 @@ def write_records(
     path: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    file_rows: int = FILE_ROWS,
+    file_bytes: int = FILE_BYTES,
 ) -> None:
     """Write every document's ids and the end id below ``path``, ascending by document id.
 
-    A file gets ``file_rows`` documents on average. A task's memory does not depend on that: rows are
-    sorted with spilling and encoded a few megabytes at a time; a reader takes one file at a time.
+    A file gets about ``file_bytes`` of text, or one longer text. A task's memory does not depend on that: texts are
+    encoded a few megabytes at a time and frames sorted with spilling; a reader takes one file at a time.
     """
     spark = docs.sparkSession
     width = 2 if end_id < 1 << 16 and _largest_id(definition) < 1 << 16 else 4
+    rows = texts(docs, id_col, text_col).select(
+        "doc_id", F.substring("text", 1, HEAD_CHARS).alias("head"), F.xxhash64("text").alias("mark"), F.monotonically_increasing_id().alias("row"), "text"
+    )
+    sizes = rows.select(F.coalesce("doc_id", F.lit(-1 << 63)).alias("doc_id"), "head", "mark", "row", (F.octet_length("text") + 64).alias("size"))
+    bounds = file_bounds(sizes, file_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(definition)
         for batch in gathered(batches, "text", ENCODE_BYTES):
             for part in chunks(batch, size=ENCODE_BYTES):
-                rows = zip(column(part, "doc_id").to_pylist(), encoder.encode(column(part, "text")), strict=True)
+                ids, heads, marks, places = (column(part, c).to_pylist() for c in ("doc_id", "head", "mark", "row"))
+                made = [frame(i, np.append(x, end_id), width) for i, x in zip(ids, encoder.encode(column(part, "text")), strict=True)]
+                keys = zip((-1 << 63 if i is None else i for i in ids), heads, marks, places, strict=True)
+                file = [bisect_right(bounds, key) for key in keys]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([frame(i, np.append(ids, end_id), width) for i, ids in rows], pa.binary())], ["frame"]
+                    [pa.array(file, pa.int32()), *(column(part, c) for c in ("doc_id", "head", "mark")), pa.array(made, pa.binary())],
+                    ["file", "doc_id", "head", "mark", "frame"],
                 )
             give_back()
         del encoder
         give_back()
 
-    narrow = texts(docs, id_col, text_col)
-    parts = max(1, docs.count() // file_rows)
-    ordered = narrow.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    lines = ordered.mapInArrow(run, "frame binary").select(F.col("frame").cast("string").alias("value"))
     with arrow_rows(spark, BATCH_ROWS):
-        lines.write.option("lineSep", "\n").text(path)
+        frames_ = rows.mapInArrow(run, "file int, doc_id long, head string, mark long, frame binary")
+        placed = frames_.repartitionById(len(bounds) + 1, "file").sortWithinPartitions("doc_id", "head", "mark")
+        placed.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", "\n").text(path)
 
 
 def _largest_id(definition: str) -> int:
@@ -240,6 +273,8 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                     else [pa.array([], t) for t in types],
                     names,
                 )
+            del batch
+            give_back()
 
     names = ["file", "position", "offset", "length", "doc_id", "n_tokens", "before", "ids_crc32"]
     types = [pa.string()] + [pa.int64()] * 7
@@ -283,6 +318,7 @@ def write_and_read(docs: DataFrame, definition: str, end_id: int, path: str | No
     spark = docs.sparkSession
     path = path or scratch_path(spark, "records")
     write_records(docs, definition, end_id, f"{path}/data")
-    read_index(spark, f"{path}/data").write.parquet(f"{path}/index")
+    with arrow_rows(spark, 1):  # one file at a time
+        read_index(spark, f"{path}/data").write.parquet(f"{path}/index")
     index = spark.read.parquet(f"{path}/index")
     return with_starts(index).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -119,3 +119,22 @@ def test_damage_is_seen():
         broken[at] ^= 1
         with pytest.raises((ValueError, struct.error)):
             list(records.frames(bytes(broken)))
+
+
+def test_no_file_is_large_whatever_the_ids(spark, definition):
+    """A third of all rows under one id, some with the same text, and very long texts in a row of ids."""
+    rng = random.Random(8)
+    words = lambda n: " ".join(rng.choice(["one", "two", "Three", "4"]) for _ in range(n))
+    rows = [(7, words(60)) for _ in range(100)] + [(7, "same text " * 20)] * 100 + [(i, words(40)) for i in range(300)]
+    rows += [(1000 + i, words(3000)) for i in range(20)] + [(None, words(10))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    path, limit = records.scratch_path(spark, "records"), 16_000
+    records.write_records(docs, definition, 2, path, file_bytes=limit)
+    index = records.read_index(spark, path)
+    sizes = {r["file"]: r["size"] for r in index.groupBy("file").agg(F.sum("length").alias("size")).collect()}
+    assert len(sizes) > 10 and max(sizes.values()) < 2 * limit
+    assert index.where("doc_id = 7").select("file").distinct().count() > 1
+    listed = [r["doc_id"] for r in index.orderBy("file", "position").select("doc_id").collect()]
+    assert listed == sorted(listed, key=lambda i: (i is not None, i or 0)) and len(listed) == len(rows)
+    counts = records.with_starts(index).orderBy("file", "position").select("start", "n_tokens").collect()
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(counts, counts[1:]))
