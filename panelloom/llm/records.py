@@ -29,6 +29,7 @@ gives files without frames and an empty index. Extra columns are not read.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from bisect import bisect_right
@@ -49,7 +50,7 @@ HEAD, META, TAIL = "<QI", "<?qB", "<Ic"
 PLAIN = "^[a-zß-öø-ÿ]+$"
 LATIN_1_LEAD = 0xC3  # first byte of the letters of the Latin-1 block; capitals have 20 (hex) less in the second
 SIGN, LETTER, DIGIT, WHITE, APOSTROPHE, OTHER = 0, 1, 2, 3, 4, 5
-ENCODE_BYTES = 3 << 20
+ENCODE_BYTES = 4 << 20
 BATCH_ROWS = 500
 FILE_BYTES = 16 << 20  # of text; frames are smaller
 SAMPLED = 20  # rows sampled for each file
@@ -100,6 +101,8 @@ class WordEncoder:
     """
 
     def __init__(self, definition: str):
+        # A task has one core; the library's threads would only hold memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.full = Tokenizer.from_str(definition)
