@@ -26,10 +26,12 @@ from panelloom.operators.vector import (
     to_matrix,
     whole_groups,
 )
-from panelloom.session import same_keys, spread
+from panelloom.session import pin, same_keys, spread
 
 # What a task holds of partial moments before it gives them out.
 HELD_BYTES = 4 * BATCH_BYTES
+# Values in the vectors of all groups up to which they are broadcast: 32 MB.
+BROADCAST_CELLS = 4 * 1024 * 1024
 
 
 def quantile_rows(values: np.ndarray, probabilities: Sequence[float]) -> np.ndarray:
@@ -71,6 +73,20 @@ def moments(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return count, np.where(count > 0, mean + base, 0.0), squares.sum(axis=0)
 
 
+def group_moments(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``moments`` of every group of rows, one row a group."""
+    sizes = np.diff(np.append(starts, len(values)))
+    there = ~np.isnan(values)
+    count = np.add.reduceat(there, starts, axis=0, dtype=float)
+    first = np.minimum.reduceat(np.where(there, np.arange(len(values))[:, None], len(values) - 1), starts, axis=0)
+    base = np.take_along_axis(values, first, axis=0)
+    shifted = np.where(there, values - np.repeat(base, sizes, axis=0), 0.0)
+    with np.errstate(invalid="ignore"):
+        mean = np.add.reduceat(shifted, starts, axis=0) / count
+        squares = np.where(there, shifted - np.repeat(mean, sizes, axis=0), 0.0) ** 2
+    return count, np.where(count > 0, mean + base, 0.0), np.add.reduceat(squares, starts, axis=0)
+
+
 def merge(a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Moments of two sets together."""
     count = a[0] + b[0]
@@ -131,9 +147,25 @@ def quantile_columns(df: DataFrame, columns: Sequence[str], probabilities: Seque
 VECTORS = ("_count", "_mean", "_squares")
 
 
-def moment_vectors(packed: DataFrame, by: Sequence[str]) -> DataFrame:
-    """``by``, ``_count``, ``_mean``, ``_squares`` of the arrays in ``_x``: one row a group, from one row a task and group."""
-    keys = list(by)
+def gathered_rows(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """Batches put together until they hold ``rows`` rows."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.num_rows
+        if size >= rows:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def moment_vectors(packed: DataFrame, by: Sequence[str], columns: int) -> DataFrame:
+    """``by``, ``_count``, ``_mean``, ``_squares`` of the arrays of ``columns`` values in ``_x``: one row a group, from
+    one row a task and group."""
+    keys, least = list(by), batch_rows(columns)
     types = {f.name: f.dataType.simpleString() for f in packed.schema}
     fields = ", ".join([*(f"`{c}` {types[c]}" for c in keys), *(f"{v} array<double>" for v in VECTORS)])
     schema = pa.schema([])
@@ -146,17 +178,15 @@ def moment_vectors(packed: DataFrame, by: Sequence[str]) -> DataFrame:
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, kind = {}, 0, schema
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
+        for table in gathered_rows(batches, least):
             order = [(k, "ascending") for k in keys]
             table = table.sort_by(order) if order else table
             kind = table.select(keys).schema
-            starts = group_starts(table, keys) if table.num_rows else np.zeros(0, dtype=np.int64)
-            values = to_matrix(table.column("_x")) if table.num_rows else None
+            starts = group_starts(table, keys)
+            all_moments = group_moments(to_matrix(table.column("_x")), starts)
             names = table.select(keys).take(pa.array(starts)).to_pylist()
-            ends = np.append(starts[1:], table.num_rows)
-            for name, a, b in zip(names, starts.tolist(), ends.tolist(), strict=False):
-                key, own = tuple(name.values()), moments(values[a:b])
+            for i, name in enumerate(names):
+                key, own = tuple(name.values()), tuple(m[i] for m in all_moments)
                 if key in held:
                     held[key] = merge(held[key], own)
                 else:
@@ -198,4 +228,7 @@ def standardize_large(df: DataFrame, columns: Sequence[str], by: Sequence[str])
             done = to_columns((values - mean) / deviation(count, squares))
             yield from pa.table([*(table.column(c) for c in ids), *done], made).combine_chunks().to_batches()
 
-    return same_keys(packed, moment_vectors(packed, by), by).select(*ids, "_x", *VECTORS).mapInArrow(run, fields)
+    vectors = pin(moment_vectors(packed, by, len(columns)))
+    # Once their number is known, few vectors go to the rows, which are then not shuffled at all.
+    few = vectors.count() * len(columns) * len(VECTORS) <= BROADCAST_CELLS
+    return same_keys(packed, F.broadcast(vectors) if few else vectors, by).select(*ids, "_x", *VECTORS).mapInArrow(run, fields)
