@@ -26,7 +26,7 @@ from panelloom.operators.vector import (
     to_matrix,
     whole_groups,
 )
-from panelloom.session import pin, same_keys, spread
+from panelloom.session import same_keys, spread
 
 # What a task holds of partial moments before it gives them out.
 HELD_BYTES = 4 * BATCH_BYTES
@@ -228,7 +228,7 @@ def standardize_large(df: DataFrame, columns: Sequence[str], by: Sequence[str])
             done = to_columns((values - mean) / deviation(count, squares))
             yield from pa.table([*(table.column(c) for c in ids), *done], made).combine_chunks().to_batches()
 
-    vectors = pin(moment_vectors(packed, by, len(columns)))
-    # Once their number is known, few vectors go to the rows, which are then not shuffled at all.
-    few = vectors.count() * len(columns) * len(VECTORS) <= BROADCAST_CELLS
+    vectors = moment_vectors(packed, by, len(columns))
+    # Where the groups are few, their vectors go to the rows, which are then not shuffled at all.
+    few = df.select(*by).distinct().count() * len(columns) * len(VECTORS) <= BROADCAST_CELLS
     return same_keys(packed, F.broadcast(vectors) if few else vectors, by).select(*ids, "_x", *VECTORS).mapInArrow(run, fields)
