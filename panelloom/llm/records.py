@@ -34,7 +34,6 @@ import struct
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +50,8 @@ PLAIN = "^[a-zß-öø-ÿ]+$"
 LATIN_1_LEAD = 0xC3  # first byte of the letters of the Latin-1 block; capitals have 20 (hex) less in the second
 SIGN, LETTER, DIGIT, WHITE, APOSTROPHE, OTHER = 0, 1, 2, 3, 4, 5
 ENCODE_BYTES = 4 << 20
+KNOWN_BYTES = 16 << 20  # of words with their ids that a task keeps from chunk to chunk
+JOINED = 512  # words that go to the library as one text
 BATCH_ROWS = 500
 FILE_BYTES = 16 << 20  # of text; frames are smaller
 SAMPLED = 20  # rows sampled for each file
@@ -94,6 +95,9 @@ def _flat(lists) -> np.ndarray:
 class WordEncoder:
     """The library's ids for many texts at once, each distinct word encoded once.
 
+    Words stay known from call to call while they and their ids take up to ``KNOWN_BYTES``; beyond that only those of
+    the last call do. A call's time then goes with the words that are new, of which running text has ever fewer.
+
     Texts are cut at white space and between plain (ASCII and Latin-1) letters, ASCII digits and signs, where the
     tokenizer's own rules always cut, and plain letters are put in lower case, as it does. A
     text that may hold a special token goes to the library whole. Words of plain lower-case
@@ -113,6 +117,7 @@ class WordEncoder:
         vocabulary = self.full.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
+        self.known, self.lists = pa.array([], pa.large_string()), pa.array([], pa.large_list(pa.int32()))
         self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
         self.kinds = np.full(256, SIGN, dtype=np.uint8)
         self.kinds[ord("a") : ord("z") + 1] = LETTER
@@ -152,11 +157,12 @@ class WordEncoder:
     def word_ids(self, array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words one after another, and where each word begins among them."""
         plain, ascii_ = (x.to_numpy(zero_copy_only=False) for x in (pc.match_substring_regex(array, PLAIN), pc.string_is_ascii(array)))
-        kind, words = np.where(plain, np.where(ascii_, 0, 1), 2).astype(np.int8), array.to_pylist()
-        sizes, runs = np.zeros(len(words), dtype=np.int64), []
+        kind = np.where(plain, np.where(ascii_, 0, 1), 2).astype(np.int8)
+        sizes, runs = np.zeros(len(array), dtype=np.int64), []
         for k, tokenizer in enumerate((self.ascii, self.plain)):
-            some = list(compress(words, (kind == k).tolist()))
-            joined = [" ".join(some[i : i + 512]) for i in range(0, len(some), 512)]
+            some = array.filter(pa.array(kind == k))
+            cuts = pa.array(np.append(np.arange(0, len(some), JOINED), len(some)), pa.int32())
+            joined = pc.binary_join(pa.ListArray.from_arrays(cuts, some), pa.scalar(" ", some.type)).to_pylist()
             # A few at a time: the library's results are much larger than the ids.
             flat = _flat(e.ids for i in range(0, len(joined), 8) for e in tokenizer.encode_batch_fast(joined[i : i + 8], add_special_tokens=False))
             ends = np.flatnonzero(self.ends[flat]) + 1
@@ -164,7 +170,7 @@ class WordEncoder:
                 raise ValueError("this needs a vocabulary whose words end in </w>")
             sizes[kind == k] = np.diff(np.r_[0, ends])
             runs.append(flat)
-        rest = [self.full.encode(w, add_special_tokens=False).ids for w in compress(words, (kind == 2).tolist())]
+        rest = [self.full.encode(w, add_special_tokens=False).ids for w in array.filter(pa.array(kind == 2)).to_pylist()]
         sizes[kind == 2] = [len(x) for x in rest]
         runs.append(_flat(rest))
         out, whose = np.zeros(int(sizes.sum()), dtype=np.int32), np.repeat(kind, sizes)
@@ -172,6 +178,23 @@ class WordEncoder:
             out[whose == k] = flat
         return out, np.r_[0, np.cumsum(sizes)]
 
+    def known_ids(self, array: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Lists of ids, and which of them belongs to each of these distinct words."""
+        place = pc.fill_null(pc.index_in(array, value_set=self.known), -1).to_numpy().copy()
+        new = place < 0
+        if new.any():
+            words = array.filter(pa.array(new))
+            ids, begins = self.word_ids(words)
+            place[new] = np.arange(len(words)) + len(self.known)
+            self.known = pa.concat_arrays([self.known, words])
+            self.lists = pa.concat_arrays([self.lists, pa.LargeListArray.from_arrays(pa.array(begins, pa.int64()), pa.array(ids))])
+        lists = self.lists
+        if self.known.nbytes + lists.nbytes > KNOWN_BYTES:
+            self.known, self.lists = array, lists.take(pa.array(place))
+            if self.known.nbytes + self.lists.nbytes > KNOWN_BYTES:
+                self.known, self.lists = array.slice(0, 0), lists.slice(0, 0)
+        return lists, place
+
     def encode(self, array: pa.Array) -> list[np.ndarray]:
         """Ids of every text."""
         whole = np.zeros(len(array), dtype=bool)
@@ -179,8 +202,8 @@ class WordEncoder:
             whole |= pc.match_substring(array, mark).to_numpy(zero_copy_only=False)
         words, first = self.words(pc.if_else(pa.array(whole), "", array) if whole.any() else array)
         coded = words.dictionary_encode()
-        ids, begins = self.word_ids(coded.dictionary)
-        lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), pa.array(ids)).take(coded.indices)
+        lists, place = self.known_ids(coded.dictionary)
+        lists = lists.take(pa.array(place).take(coded.indices))
         flat = lists.flatten().to_numpy(zero_copy_only=False)
         bounds = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64))[first]
         out = [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]

@@ -81,6 +81,29 @@ def test_word_encoder_matches_the_library(definition):
     assert [g.tolist() for g in got] == [full.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+@pytest.mark.parametrize("bound", [16 << 20, 4000, 1])
+def test_words_stay_known_from_chunk_to_chunk(definition, monkeypatch, bound):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(records, "KNOWN_BYTES", bound)
+    full, encoder, asked, held = Tokenizer.from_str(definition), records.WordEncoder(definition), [], []
+    encode_words = encoder.word_ids
+    encoder.word_ids = lambda words: (asked.append(len(words)), encode_words(words))[1]
+    common = random_texts(40, "abé", 6, seed=1)
+    for seed in range(6):
+        rare = random_texts(20, "abcé1.😀", 12, seed=10 + seed) + (["z" * 9000] if seed == 3 else [])
+        texts = [" ".join([*common, *rare]), "", *rare, " ".join(common)]
+        got = encoder.encode(pa.array(texts))
+        assert [g.tolist() for g in got] == [full.encode(t, add_special_tokens=False).ids for t in texts]
+        held.append(encoder.known.nbytes + encoder.lists.nbytes)
+    assert max(held) <= bound
+    if bound > 1:
+        assert max(asked[1:3]) < asked[0]  # common words are not encoded again
+        asked.clear()
+        encoder.encode(pa.array([" ".join(rare)]))
+        assert not asked
+
+
 def plain_records(docs, definition):
     from tokenizers import Tokenizer
 
