@@ -49,8 +49,8 @@ HEAD, META, TAIL = "<QI", "<?qB", "<Ic"
 PLAIN = "^[a-zß-öø-ÿ]+$"
 LATIN_1_LEAD = 0xC3  # first byte of the letters of the Latin-1 block; capitals have 20 (hex) less in the second
 SIGN, LETTER, DIGIT, WHITE, APOSTROPHE, OTHER = 0, 1, 2, 3, 4, 5
-ENCODE_BYTES = 4 << 20
-KNOWN_BYTES = 16 << 20  # of words with their ids that a task keeps from chunk to chunk
+ENCODE_BYTES = 2 << 20
+KNOWN_BYTES = 8 << 20  # of words with their ids that a task keeps from chunk to chunk
 JOINED = 512  # words that go to the library as one text
 BATCH_ROWS = 500
 FILE_BYTES = 16 << 20  # of text; frames are smaller
