@@ -117,7 +117,7 @@ class WordEncoder:
         vocabulary = self.full.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        self.known, self.lists = pa.array([], pa.large_string()), pa.array([], pa.large_list(pa.int32()))
+        self.known, self.lists = self.nothing()
         self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
         self.kinds = np.full(256, SIGN, dtype=np.uint8)
         self.kinds[ord("a") : ord("z") + 1] = LETTER
@@ -178,6 +178,10 @@ class WordEncoder:
             out[whose == k] = flat
         return out, np.r_[0, np.cumsum(sizes)]
 
+    @staticmethod
+    def nothing() -> tuple[pa.Array, pa.Array]:
+        return pa.array([], pa.large_string()), pa.array([], pa.large_list(pa.int32()))
+
     def known_ids(self, array: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """Lists of ids, and which of them belongs to each of these distinct words."""
         place = pc.fill_null(pc.index_in(array, value_set=self.known), -1).to_numpy().copy()
@@ -192,7 +196,7 @@ class WordEncoder:
         if self.known.nbytes + lists.nbytes > KNOWN_BYTES:
             self.known, self.lists = array, lists.take(pa.array(place))
             if self.known.nbytes + self.lists.nbytes > KNOWN_BYTES:
-                self.known, self.lists = array.slice(0, 0), lists.slice(0, 0)
+                self.known, self.lists = self.nothing()  # a slice would hold all of it
         return lists, place
 
     def encode(self, array: pa.Array) -> list[np.ndarray]:

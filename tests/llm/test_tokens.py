@@ -96,6 +96,8 @@ def test_words_stay_known_from_chunk_to_chunk(definition, monkeypatch, bound):
         got = encoder.encode(pa.array(texts))
         assert [g.tolist() for g in got] == [full.encode(t, add_special_tokens=False).ids for t in texts]
         held.append(encoder.known.nbytes + encoder.lists.nbytes)
+        if bound == 1:
+            assert encoder.known.get_total_buffer_size() + encoder.lists.get_total_buffer_size() < 100
     assert max(held) <= bound
     if bound > 1:
         assert max(asked[1:3]) < asked[0]  # common words are not encoded again
