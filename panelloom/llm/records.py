@@ -41,7 +41,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import arrow_rows, chunks, column, gathered, give_back, texts
+from panelloom.llm.common import arrow_rows, chunks, column, gathered, give_back, texts, trim
 from panelloom.session import scratch_path
 
 MASK_DELTA = 0xA282EAD8  # fixed value of the masking rule
@@ -117,7 +117,7 @@ class WordEncoder:
         vocabulary = self.full.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        self.known, self.lists = self.nothing()
+        self.known, self.lists = pa.array([], pa.large_string()), pa.array([], pa.large_list(pa.int32()))
         self.special = [t.content for t in self.full.get_added_tokens_decoder().values()]
         self.kinds = np.full(256, SIGN, dtype=np.uint8)
         self.kinds[ord("a") : ord("z") + 1] = LETTER
@@ -178,26 +178,19 @@ class WordEncoder:
             out[whose == k] = flat
         return out, np.r_[0, np.cumsum(sizes)]
 
-    @staticmethod
-    def nothing() -> tuple[pa.Array, pa.Array]:
-        return pa.array([], pa.large_string()), pa.array([], pa.large_list(pa.int32()))
-
-    def known_ids(self, array: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        """Lists of ids, and which of them belongs to each of these distinct words."""
-        place = pc.fill_null(pc.index_in(array, value_set=self.known), -1).to_numpy().copy()
-        new = place < 0
-        if new.any():
-            words = array.filter(pa.array(new))
-            ids, begins = self.word_ids(words)
-            place[new] = np.arange(len(words)) + len(self.known)
-            self.known = pa.concat_arrays([self.known, words])
+    def known_ids(self, words: pa.Array) -> pa.Array:
+        """Every word's list of ids."""
+        before = len(self.known)
+        coded = pa.concat_arrays([self.known, words]).dictionary_encode()  # known words are distinct and come first
+        places, self.known = coded.indices.slice(before), coded.dictionary
+        if len(self.known) > before:
+            ids, begins = self.word_ids(self.known.slice(before))
             self.lists = pa.concat_arrays([self.lists, pa.LargeListArray.from_arrays(pa.array(begins, pa.int64()), pa.array(ids))])
-        lists = self.lists
-        if self.known.nbytes + lists.nbytes > KNOWN_BYTES:
-            self.known, self.lists = array, lists.take(pa.array(place))
+        lists = self.lists.take(places)
+        for kept in (places.unique().sort(), places.slice(0, 0)):
             if self.known.nbytes + self.lists.nbytes > KNOWN_BYTES:
-                self.known, self.lists = self.nothing()  # a slice would hold all of it
-        return lists, place
+                self.known, self.lists = self.known.take(kept), self.lists.take(kept)
+        return lists
 
     def encode(self, array: pa.Array) -> list[np.ndarray]:
         """Ids of every text."""
@@ -205,9 +198,7 @@ class WordEncoder:
         for mark in self.special:
             whole |= pc.match_substring(array, mark).to_numpy(zero_copy_only=False)
         words, first = self.words(pc.if_else(pa.array(whole), "", array) if whole.any() else array)
-        coded = words.dictionary_encode()
-        lists, place = self.known_ids(coded.dictionary)
-        lists = lists.take(pa.array(place).take(coded.indices))
+        lists = self.known_ids(words)
         flat = lists.flatten().to_numpy(zero_copy_only=False)
         bounds = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64))[first]
         out = [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
@@ -270,7 +261,7 @@ def write_records(
                     [pa.array(file, pa.int32()), *(column(part, c) for c in ("doc_id", "head", "mark")), pa.array(made, pa.binary())],
                     ["file", "doc_id", "head", "mark", "frame"],
                 )
-            give_back()
+            trim()
         del encoder
         give_back()
 
