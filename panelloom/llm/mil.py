@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import chunks, column, hash_sample, held_out, per_chunk, texts
+from panelloom.llm.common import BATCH_ROWS, arrow_rows, chunks, column, hash_sample, held_out, per_chunk, texts
 
 PASSAGE = 512
 BUCKETS = 256
@@ -37,6 +37,7 @@ DOCUMENTS = 3000
 BAG = 32
 EPOCHS = 12
 THRESHOLD = 0.3
+PASSAGES_AT_ONCE = 1024  # encoded in numpy; about 60 bytes of memory for each of text
 
 
 def classes() -> np.ndarray:
@@ -64,6 +65,17 @@ def encode(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     total = int(bags.sum())
     inside = np.arange(total) - np.repeat(np.cumsum(bags) - bags, bags)
     lengths = np.minimum(PASSAGE, np.repeat(sizes, bags) - PASSAGE * inside)
+    ends = np.cumsum(lengths)
+    x = np.empty((total, WIDTH), dtype=np.float32)
+    for at in range(0, total, PASSAGES_AT_ONCE):
+        some = lengths[at : at + PASSAGES_AT_ONCE]
+        x[at : at + len(some)] = features(data[ends[at] - some[0] : ends[at + len(some) - 1]], some)
+    return x, bags
+
+
+def features(data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A row for each of the passages that stand one after another in ``data``."""
+    total = len(lengths)
     passage = np.repeat(np.arange(total), lengths)
     kinds = np.bincount(passage * CLASSES + classes()[data], minlength=total * CLASSES).reshape(total, CLASSES)
     wide = data.astype(np.uint32)
@@ -73,7 +85,7 @@ def encode(array: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     count = np.maximum(1, grams.sum(axis=1, keepdims=True))
     length = np.maximum(1, lengths)[:, None]
     variety = (grams > 0).sum(axis=1, keepdims=True) / np.minimum(count, BUCKETS)
-    return np.concatenate([np.sqrt(grams / count), kinds / length, variety, length / PASSAGE], axis=1, dtype=np.float32), bags
+    return np.concatenate([np.sqrt(grams / count), kinds / length, variety, length / PASSAGE], axis=1, dtype=np.float32)
 
 
 @dataclass
@@ -164,7 +176,9 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     # At most twice DOCUMENTS ids, so the broadcast is bounded.
     sample = texts(docs, id_col, text_col).join(F.broadcast(training_labels(labels, "quality", DOCUMENTS)), "doc_id")
-    rows = sorted(sample.mapInArrow(run, "doc_id long, y int, x binary").collect(), key=lambda r: (r["doc_id"], r["x"]))
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        found = sample.mapInArrow(run, "doc_id long, y int, x binary").collect()
+    rows = sorted(found, key=lambda r: (r["doc_id"], r["x"]))
     bag = [np.frombuffer(r["x"], dtype=np.float16).reshape(-1, WIDTH).astype(np.float32) for r in rows]
     x = np.concatenate(bag) if bag else np.zeros((0, WIDTH), dtype=np.float32)
     return fit(x, np.array([len(b) for b in bag], dtype=np.int64), np.array([min(1, max(0, r["y"])) for r in rows], dtype=np.float32))

@@ -35,13 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.llm.common import column, fresh, per_chunk, texts
+from panelloom.llm.common import BATCH_ROWS, arrow_rows, column, fresh, per_chunk, texts
 from panelloom.session import pin, scratch_path
 
 SEED = 42
 BITS = 64
 HOMES = 50_000
-PAIRS_AT_ONCE = 4 << 20
+PAIRS_AT_ONCE = 1 << 18  # compared in numpy; about 100 bytes of memory each
 TWO_BLOCKS_FROM = 1 << 28
 FREQUENT = 1000
 
@@ -158,11 +158,11 @@ def copies(nodes: DataFrame, threshold: int, blocks: int, homes_only: bool = Fal
     return nodes.select("fp").mapInArrow(run, "anchor long, copy int, fp long")
 
 
-def forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links reduced to one from every node to the smallest node of its component."""
-    nodes, at = np.unique(np.r_[left, right], return_inverse=True)
-    a, b = at[: len(left)], at[len(left) :]
-    label = np.arange(len(nodes))
+def join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` (each node's smallest known fellow) after the links between the nodes ``a`` and ``b``."""
+    a, b = label[a], label[b]
+    apart = a != b  # within a crowd nearly all links tell nothing new
+    a, b = a[apart], b[apart]
     while True:
         low = np.minimum(label[a], label[b])
         before = label.copy()
@@ -171,13 +171,24 @@ def forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         while not np.array_equal(label, label[label]):
             label = label[label]
         if np.array_equal(label, before):
-            break
+            return label
+
+
+def forest(key: np.ndarray, away: np.ndarray, fp: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links within keys, as one from every fingerprint to the smallest one of its component.
+
+    No more is held than a label for each fingerprint and the links of ``PAIRS_AT_ONCE`` comparisons.
+    """
+    nodes, at = np.unique(fp, return_inverse=True)
+    label = np.arange(len(nodes))
+    for a, b in _compare(key, away, fp, threshold):
+        label = join(label, at[a], at[b])
     linked = np.flatnonzero(label != np.arange(len(nodes)))
     return nodes[linked], nodes[label[linked]]
 
 
 def _compare(key: np.ndarray, away: np.ndarray, fp: np.ndarray, threshold: int):
-    """Links between the homes and all rows of the same key; rows are sorted by key, homes first."""
+    """Links between the homes and all rows of the same key, as places; rows are sorted by key, homes first."""
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     sizes = np.diff(np.r_[starts, len(key)])
     home = np.flatnonzero(away == 0)
@@ -194,7 +205,7 @@ def _compare(key: np.ndarray, away: np.ndarray, fp: np.ndarray, threshold: int):
         apart = np.bitwise_count(bits[mine] ^ bits[other])
         hit = np.flatnonzero((apart <= threshold) & (apart > 0))
         if len(hit):
-            yield fp[mine[hit]], fp[other[hit]]
+            yield mine[hit], other[hit]
         done = upto
 
 
@@ -243,9 +254,7 @@ def links(nodes: DataFrame, threshold: int, blocks: int, homes: int = HOMES) ->
         if not len(rows[0]):
             return
         key = np.cumsum(np.r_[0, (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])])
-        left, right = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        for a, b in _compare(key, rows[2], rows[3], threshold):
-            left, right = forest(np.r_[left, a], np.r_[right, b])
+        left, right = forest(key, rows[2], rows[3], threshold)
         if len(left):
             yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right)], ["u", "v"])
 
@@ -280,7 +289,8 @@ def near_duplicates(
     homes: int = HOMES,
 ) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable) of every row."""
-    prints = pin(fingerprints(docs, shingle, id_col, text_col))
+    with arrow_rows(docs.sparkSession, BATCH_ROWS):
+        prints = pin(fingerprints(docs, shingle, id_col, text_col))
     nodes = pin(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
     if blocks is None:
         blocks = 3 if nodes.count() < TWO_BLOCKS_FROM else 2

@@ -2,6 +2,7 @@
 
 import collections
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -164,6 +165,48 @@ def test_every_link_is_found(spark, blocks):
     assert [find(i) for i in range(len(values))] == linked
 
 
+def test_a_crowd_of_near_copies_takes_little_memory(monkeypatch):
+    rng = np.random.default_rng(1)
+    flips = [np.uint64(1) << rng.integers(0, 64, 6000).astype(np.uint64) for _ in range(2)]
+    crowd = np.uint64(0x0123456789ABCDEF) ^ flips[0] ^ flips[1]
+    fp = np.unique(np.r_[crowd, rng.integers(0, 2**63, 100, dtype=np.uint64)]).view(np.int64)
+    fp = rng.permutation(fp)
+    key, away = np.zeros(len(fp), dtype=np.int64), (np.arange(len(fp)) >= len(fp) // 2).astype(np.int32)
+    homes = np.flatnonzero(away == 0)
+    near = np.bitwise_count(fp.view(np.uint64)[homes][:, None] ^ fp.view(np.uint64)[None, :])
+    near = (near > 0) & (near <= 4)
+    assert near.sum() > 1_000_000
+
+    tracemalloc.start()
+    found = sum(len(a) for a, _ in simhash._compare(key, away, fp, 4))
+    assert found == near.sum()
+    assert tracemalloc.get_traced_memory()[1] < 48 << 20
+    tracemalloc.reset_peak()
+    u, v = simhash.forest(key, away, fp, 4)
+    assert tracemalloc.get_traced_memory()[1] < 48 << 20
+    tracemalloc.stop()
+
+    smallest = fp.copy()  # of what links reach
+    while True:
+        low = np.where(near, smallest[None, :], smallest[homes][:, None]).min(axis=1)
+        after = smallest.copy()
+        after[homes] = np.minimum(after[homes], low)
+        after = np.minimum(after, np.where(near, low[:, None], after[None, :]).min(axis=0))
+        if np.array_equal(after, smallest):
+            break
+        smallest = after
+    want = {(int(a), int(b)) for a, b in zip(fp, smallest) if a != b}
+    assert len(want) > 1000 and set(zip(u.tolist(), v.tolist())) == want and len(u) == len(want)
+
+    # Several keys, few comparisons at a time: the same links.
+    some = np.lexsort((away, fp % 7))
+    keys = np.cumsum(np.r_[0, np.diff((fp % 7)[some]) != 0])
+    whole = simhash.forest(keys, away[some], fp[some], 4)
+    monkeypatch.setattr(simhash, "PAIRS_AT_ONCE", 1000)
+    for a, b in zip(whole, simhash.forest(keys, away[some], fp[some], 4), strict=True):
+        np.testing.assert_array_equal(a, b)
+
+
 def test_covering_code():
     coded, masks = simhash.block_masks(21, 2)
     words = [w for w in range(1 << coded) if not np.bitwise_xor.reduce([i + 1 for i in range(coded) if w >> i & 1] or [0])]
