@@ -44,6 +44,7 @@ HOMES = 50_000
 PAIRS_AT_ONCE = 1 << 18  # compared in numpy; about 100 bytes of memory each
 TWO_BLOCKS_FROM = 1 << 28
 FREQUENT = 1000
+EDGES_IN_FILE = 1 << 18
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -262,9 +263,12 @@ def links(nodes: DataFrame, threshold: int, blocks: int, homes: int = HOMES) ->
 
 
 def stars(edges: DataFrame) -> DataFrame:
-    """``u``, ``v``: every linked node but the smallest of its component, with that smallest node."""
+    """``u``, ``v``: every linked node but the smallest of its component, with that smallest node.
+
+    A round leaves no more links than it found, so the number before it tells how many files they need.
+    """
     edges = pin(edges)
-    state = None
+    cores, state = edges.sparkSession.sparkContext.defaultParallelism, (edges.count(),)
     while True:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -272,11 +276,11 @@ def stars(edges: DataFrame) -> DataFrame:
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m"))
-        edges = pin(small.where("u <> v").distinct())
+        edges = pin(small.where("u <> v").distinct().coalesce(max(cores, -(-state[0] // EDGES_IN_FILE))))
         seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if seen == state:
+        if tuple(seen) == state:
             return edges
-        state = seen
+        state = tuple(seen)
 
 
 def near_duplicates(
