@@ -18,7 +18,10 @@ Size. Equal fingerprints are one row before anything is copied. An anchor's home
 and its copies are streamed past them; where an anchor has more homes than ``HOMES`` they are
 cut into slices and the copies go to every slice, so no task holds an unbounded group. Tasks
 return a spanning forest of the links they found, not the pairs; groups come from large-star
-and small-star rounds over those, each pinned in the shared folder.
+and small-star rounds over those, each pinned in the shared folder. What is pinned or returned
+has as many partitions as its rows fill, not as many as the input or the shuffles have: where
+Hadoop has no native library it starts processes for every file, and until such a process runs
+its command an executor's memory is there twice.
 
 A text without words has fingerprint zero and is linked like any other; so are null texts.
 Repeated rows stay, in the same group. A null id takes part; ``component_id`` is the smallest
@@ -36,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.llm.common import BATCH_ROWS, arrow_rows, column, fresh, per_chunk, texts
-from panelloom.session import pin, scratch_path
+from panelloom.session import estimated_bytes, pin, scratch_path
 
 SEED = 42
 BITS = 64
@@ -44,7 +47,8 @@ HOMES = 50_000
 PAIRS_AT_ONCE = 1 << 18  # compared in numpy; about 100 bytes of memory each
 TWO_BLOCKS_FROM = 1 << 28
 FREQUENT = 1000
-EDGES_IN_FILE = 1 << 18
+ROWS_IN_FILE = 1 << 18
+INPUT_IN_FILE = 32 << 20  # bytes of documents whose fingerprints make one file
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -87,6 +91,11 @@ def fold(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def in_files(df: DataFrame, rows: int, full: int = ROWS_IN_FILE) -> DataFrame:
+    """``df``, of ``rows`` rows or less, in one partition for each ``full`` of them, but one a core at least; fewer stay."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // full)))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``fp``: the fingerprint of every text as a signed 64-bit number."""
 
@@ -99,7 +108,9 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
 
         return work
 
-    return texts(docs, id_col, text_col).mapInArrow(per_chunk(make), "doc_id long, fp long")
+    whole, size = texts(docs, id_col, text_col), estimated_bytes(docs._jdf.queryExecution().optimizedPlan())
+    whole = whole if size is None else in_files(whole, size, INPUT_IN_FILE)
+    return whole.mapInArrow(per_chunk(make), "doc_id long, fp long")
 
 
 def block_masks(width: int, reach: int) -> tuple[int, list[list[int]]]:
@@ -123,9 +134,19 @@ def block_masks(width: int, reach: int) -> tuple[int, list[list[int]]]:
     return coded, masks
 
 
+def block_bounds(blocks: int) -> list[int]:
+    return [BITS * b // blocks for b in range(blocks + 1)]
+
+
+def most_copies(threshold: int, blocks: int) -> int:
+    """Of one fingerprint; a forest has fewer links than copies."""
+    bounds = block_bounds(blocks)
+    return sum(max(map(len, block_masks(b - a, 1 + threshold // blocks)[1])) for a, b in zip(bounds, bounds[1:]))
+
+
 def copies(nodes: DataFrame, threshold: int, blocks: int, homes_only: bool = False) -> DataFrame:
     """``anchor``, ``copy`` (0 at home, else 1), ``fp``."""
-    bounds = [BITS * b // blocks for b in range(blocks + 1)]
+    bounds = block_bounds(blocks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = {
@@ -268,7 +289,7 @@ def stars(edges: DataFrame) -> DataFrame:
     A round leaves no more links than it found, so the number before it tells how many files they need.
     """
     edges = pin(edges)
-    cores, state = edges.sparkSession.sparkContext.defaultParallelism, (edges.count(),)
+    state = (edges.count(),)
     while True:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -276,7 +297,7 @@ def stars(edges: DataFrame) -> DataFrame:
         large = large.where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", "m"))
-        edges = pin(small.where("u <> v").distinct().coalesce(max(cores, -(-state[0] // EDGES_IN_FILE))))
+        edges = pin(in_files(small.where("u <> v").distinct(), state[0]))
         seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if tuple(seen) == state:
             return edges
@@ -295,10 +316,12 @@ def near_duplicates(
     """``doc_id``, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable) of every row."""
     with arrow_rows(docs.sparkSession, BATCH_ROWS):
         prints = pin(fingerprints(docs, shingle, id_col, text_col))
-    nodes = pin(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
+    rows = prints.count()
+    nodes = pin(in_files(prints.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), rows))
+    different = nodes.count()
     if blocks is None:
-        blocks = 3 if nodes.count() < TWO_BLOCKS_FROM else 2
-    found = stars(links(nodes, threshold, blocks, homes))
+        blocks = 3 if different < TWO_BLOCKS_FROM else 2
+    found = stars(in_files(links(nodes, threshold, blocks, homes), different * most_copies(threshold, blocks)))
     members = found.select(F.col("u").alias("fp"), F.col("v").alias("root"))
     members = members.union(found.select(F.col("v").alias("fp"), F.col("v").alias("root")).distinct())
     linked = members.join(nodes, "fp")
@@ -307,12 +330,12 @@ def near_duplicates(
     classes = nodes.join(known, "fp", "left").select("fp", "n", F.coalesce("lowest", "first").alias("component_id"))
     # Fingerprints of many documents number at most FREQUENT, whatever the size of the table; only they are
     # broadcast, so no task gets all copies of a text.
-    often = F.col("n") > prints.count() // FREQUENT
+    often = F.col("n") > rows // FREQUENT
     hot = F.broadcast(classes.where(often).drop("n"))
     placed = prints.join(hot, "fp").unionByName(
         prints.join(hot.select("fp"), "fp", "left_anti").join(classes.where(~often).drop("n"), "fp")
     )
-    return placed.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return in_files(placed, rows).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, threshold: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

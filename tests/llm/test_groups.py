@@ -3,6 +3,7 @@
 import collections
 import re
 import tracemalloc
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from panelloom.llm import packing, rules, simhash, topk
 from panelloom.llm.catalog import QUERIES
+from panelloom.session import settings, shared_dir
 
 DIR = "/root/testdata/sf0.001"
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -207,6 +209,35 @@ def test_a_crowd_of_near_copies_takes_little_memory(monkeypatch):
         np.testing.assert_array_equal(a, b)
 
 
+def test_few_rows_make_few_files_whatever_the_partitions(spark, tmp_path):
+    rng = np.random.default_rng(12)
+    rows = [(i, " ".join(rng.choice(["a", "b", "c", "d", "e"], 40))) for i in range(150)]
+    rows += [(1000 + i, rows[i % 20][1]) for i in range(150)] + [(None, "a b"), (2000, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(60).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    many = {
+        "spark.sql.shuffle.partitions": "60",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "1k",
+        "spark.sql.files.openCostInBytes": "1k",
+    }
+    shared_dir(spark)
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(folder.glob("rdd-*"))
+    with settings(spark, many):
+        assert docs.rdd.getNumPartitions() >= 60
+        simhash.near_duplicates(docs).write.parquet(f"{tmp_path}/groups")
+    made = set(folder.glob("rdd-*")) - before
+    cores = spark.sparkContext.defaultParallelism
+    assert len(made) >= 4 and all(len(list(x.glob("part-*"))) <= cores for x in made)
+    assert len(list((tmp_path / "groups").glob("part-*"))) <= cores
+
+    prints = [plain_fingerprint(text) for _, text in rows]
+    want = [(i, f"{p:016x}", c) for (i, _), p, c in zip(rows, prints, plain_groups(prints, [i for i, _ in rows]))]
+    got = spark.read.parquet(f"{tmp_path}/groups")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_covering_code():
     coded, masks = simhash.block_masks(21, 2)
     words = [w for w in range(1 << coded) if not np.bitwise_xor.reduce([i + 1 for i in range(coded) if w >> i & 1] or [0])]
