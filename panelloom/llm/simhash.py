@@ -48,7 +48,7 @@ PAIRS_AT_ONCE = 1 << 18  # compared in numpy; about 100 bytes of memory each
 TWO_BLOCKS_FROM = 1 << 28
 FREQUENT = 1000
 ROWS_IN_FILE = 1 << 18
-INPUT_IN_FILE = 32 << 20  # bytes of documents whose fingerprints make one file
+INPUT_IN_FILE = 8 << 20  # bytes of documents whose fingerprints make one file
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
