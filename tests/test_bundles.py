@@ -62,3 +62,17 @@ def test_rows_in_bundles_are_ranked_like_rows(spark):
     assert got.columns == want.columns and got.schema["timeid"].dataType == want.schema["timeid"].dataType
     key = lambda r: str([None if v is None else round(v, 12) for v in r])
     assert sorted(map(key, got.collect())) == sorted(map(key, want.collect()))
+
+
+def nodes(plan):
+    yield plan
+    children = plan.children()
+    for i in range(children.size()):
+        yield from nodes(children.apply(i))
+
+
+def test_sorts_of_window_ranks_find_their_columns_at_the_head(spark, panel):
+    ranked = xsec_rank(panel, FEATURES, engine="windows")
+    sorts = [n.children().apply(0) for n in nodes(ranked._jdf.queryExecution().sparkPlan()) if n.nodeName() == "Window"]
+    heads = [[s.output().apply(i).name() for i in range(3)] for s in sorts]
+    assert heads[::-1][1:] == [["dateid", "timeid", f] for f in FEATURES[1:]]
